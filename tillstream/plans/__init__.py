@@ -1,0 +1,7 @@
+"""Query registry (``QUERIES``) and DuckDB oracle statements (``ORACLE``)."""
+
+from . import oracle_trade  # noqa: F401  (registers its statements)
+from .catalog import QUERIES
+from .oracle import ORACLE
+
+__all__ = ["QUERIES", "ORACLE"]
