@@ -58,11 +58,15 @@ def dec2(c) -> Column:
 
 def order_detail_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
+    return li.select(*_detail_payload(epoch_ms("l_shipdate")))
+
+
+def _detail_payload(ts: Column) -> list[Column]:
+    """lineitem columns -> order_detail payload (strings) + ``ts_ms``; ``ts`` is the event time."""
     price = dec2("l_extendedprice")
     act = price * dec2("l_discount")
     cou = price * dec2("l_tax")
-    ts = epoch_ms("l_shipdate")
-    return li.select(
+    return [
         F.concat_ws("-", s("l_orderkey"), s("l_linenumber")).alias("id"),
         s("l_orderkey").alias("order_id"),
         s("l_partkey").alias("sku_id"),
@@ -76,7 +80,16 @@ def order_detail_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         s(act).alias("split_activity_amount"),
         s(cou).alias("split_coupon_amount"),
         ts.alias("ts_ms"),
-    )
+    ]
+
+
+def label_detail_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """order_detail payload as the label job's interval join sees it: event time =
+    the order's date + (line number - 3) minutes (FIXTURES.md, J-10)."""
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
+    return j.select(*_detail_payload(epoch_ms("o_orderdate") + (F.col("l_linenumber") - 3) * 60_000))
 
 
 def detail_arrival() -> list[Column]:

@@ -25,6 +25,8 @@ from .tables import epoch_ms, table
 # Fixture values (FIXTURES.md "page log"): event type -> page id, k%4 -> previous page.
 PAGE_OF_EVENT = {"view": "home", "click": "good_detail", "signup": "login", "purchase": "payment", "error": "mine"}
 LAST_PAGE_BY_K4 = {1: "login", 2: "search", 3: "home"}
+# Label search items cycle through the six category-3 names (k % 6).
+SEARCH_POSITIONS = 6
 
 COMMON_T = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("ar", "ch", "is_new", "mid", "os", "sid", "uid", "vc")]
@@ -88,8 +90,11 @@ def _case(col, mapping: dict, default=None):
     return expr.otherwise(F.lit(default)) if default is not None else expr
 
 
-def _log_columns(ev: DataFrame) -> list:
+def _log_columns(ev: DataFrame, keyword_item=None) -> list:
     k, uid, et = F.col("k"), F.col("user_id"), F.col("event_type")
+    item = F.concat(et, F.lit(" kw"), (k % 5).cast("string"))
+    if keyword_item is not None:
+        item = F.when(k % 2 == 0, keyword_item).otherwise(item)
     common = F.struct(
         (uid % 7).cast("string").alias("ar"),
         F.concat(F.lit("ch"), (uid % 4).cast("string")).alias("ch"),
@@ -102,7 +107,7 @@ def _log_columns(ev: DataFrame) -> list:
     )
     page = F.struct(
         F.floor(F.col("value") * 100).cast("bigint").alias("during_time"),
-        F.concat(et, F.lit(" kw"), (k % 5).cast("string")).alias("item"),
+        item.alias("item"),
         F.when(k % 2 == 0, "keyword").otherwise("sku_id").alias("item_type"),
         _case(k % 4, LAST_PAGE_BY_K4).alias("last_page_id"),
         _case(et, PAGE_OF_EVENT).alias("page_id"),
@@ -153,7 +158,19 @@ def _log_columns(ev: DataFrame) -> list:
 
 def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed behaviour log, one row per event (no dirty lines)."""
-    return events_keyed(spark, sf_dir).select(*_log_columns(events_keyed(spark, sf_dir)))
+    ev = events_keyed(spark, sf_dir)
+    return ev.select(*_log_columns(ev))
+
+
+def label_page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed log as the label pipeline sees it: a keyword search item is a category-3 name,
+    the one at position ``k % 6`` of the sorted names (FIXTURES.md, search item for M-2)."""
+    from .dims import category3_positions
+
+    ev = events_keyed(spark, sf_dir)
+    pos = category3_positions(spark, sf_dir)
+    ev = ev.join(pos, (ev["k"] % SEARCH_POSITIONS) == pos["pos"], "left")
+    return ev.select(*_log_columns(ev, F.col("name")))
 
 
 def log_text(spark: SparkSession, sf_dir: str) -> DataFrame:
