@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.time import ts_to_date
 from ..sources.logs import LOG_T
+from .state import first_per_group
 
 CORRUPT = "_corrupt_record"
 DAY_MS = 86_400_000
@@ -42,19 +43,17 @@ def fix_is_new(log: DataFrame) -> DataFrame:
 
     State per mid is written once, by the mid's first record: its date when it
     claims to be new, else the day before. Any later record that claims to be
-    new on a different date than that state is set to '0' (N-7). Batch form: a
-    partial-aggregated ``min_by`` per mid (no row shuffle for hot mids on the
-    aggregate side) joined back on mid; AQE splits a skewed join partition.
+    new on a different date than that state is set to '0' (N-7). Batch form: the
+    first record per mid (top-1 per key, reduced map-side before the shuffle)
+    joined back on mid; AQE splits a skewed join partition.
     The reference's 10 s processing-time TTL has no batch meaning and is not
     applied.
     """
-    first = log.groupBy(F.col("common.mid").alias("_mid")).agg(
-        F.min_by(F.struct(F.col("common.is_new").alias("is_new"), F.col("ts").alias("ts")), F.col("ts")).alias("_f")
-    )
-    first = first.select(
+    heads = log.select(F.col("common.mid").alias("_mid"), F.col("common.is_new").alias("_is_new"), F.col("ts").alias("_ts"))
+    first = first_per_group(heads, ["_mid"], ["_ts"]).select(
         "_mid",
-        F.when(F.col("_f.is_new") == "1", ts_to_date(F.col("_f.ts")))
-        .otherwise(ts_to_date(F.col("_f.ts") - DAY_MS))
+        F.when(F.col("_is_new") == "1", ts_to_date(F.col("_ts")))
+        .otherwise(ts_to_date(F.col("_ts") - DAY_MS))
         .alias("_first_state"),
     )
     j = log.join(first, log["common.mid"] == first["_mid"], "inner")

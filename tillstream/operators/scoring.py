@@ -1,8 +1,8 @@
 """Age-bucket label scoring (M-1 ... M-7).
 
-Every model is a static score table ``(key, s_18_24 ... s_50)`` joined to the
-rows by broadcast (the tables are fixed and tiny) through one generic
-operator, :func:`score_join`. Scores are exact decimals multiplied by the
+Every model is a static score table ``key -> (s_18_24 ... s_50)`` applied
+through one generic operator, :func:`score_join`, as a constant lookup map
+(the tables are fixed and tiny: no join, no exchange). Scores are exact decimals multiplied by the
 model weight and rounded HALF_UP to 3 places (F-13); results are doubles.
 """
 
@@ -64,12 +64,6 @@ CATEGORY_SCORES = {
 CATEGORY_DEFAULT = (0.1, 0.2, 0.4, 0.5, 0.8, 0.9)
 
 
-def score_table(spark: SparkSession, scores: dict[str, tuple]) -> DataFrame:
-    cols = ", ".join(f"s_{b} DECIMAL(4,3)" for b in BUCKETS)
-    rows = [(k, *[Decimal(str(v)) for v in vals]) for k, vals in scores.items()]
-    return spark.createDataFrame(rows, f"score_key STRING, {cols}")
-
-
 def _weighted(raw: Column, weight: float) -> Column:
     return F.round(raw * F.lit(weight).cast("decimal(4,3)"), 3).cast("double")
 
@@ -88,18 +82,28 @@ def score_join(
 
     Unknown keys get ``default`` (or null when no default); a null key gets null unless
     ``null_default`` (the search model scores a missing category as 0).
+
+    The score table is fixed and tiny, so it is embedded as a constant-folded literal
+    ``MAP<key, ARRAY<DECIMAL(4,3)>>`` looked up per row inside the generated code: the
+    same answer as a broadcast hash join without an exchange or a join operator.
     """
-    tbl = F.broadcast(score_table(spark, scores))
-    j = df.withColumn("_score_key", key).join(tbl, F.col("_score_key") == tbl["score_key"], "left")
+    lookup = score_map(scores)[key]
     out = []
     for i, b in enumerate(BUCKETS):
-        raw = F.col(f"s_{b}")
+        raw = lookup.getItem(i)
         if default is not None:
-            filled = F.coalesce(raw, F.lit(str(default[i])).cast("decimal(4,3)"))
-            raw = filled if null_default else F.when(F.col("_score_key").isNull(), F.lit(None)).otherwise(filled)
+            filled = F.coalesce(raw, F.lit(Decimal(str(default[i]))).cast("decimal(4,3)"))
+            raw = filled if null_default else F.when(key.isNull(), F.lit(None)).otherwise(filled)
         out.append(_weighted(raw, weight).alias(f"{prefix}_{b}"))
-    keep = [c for c in df.columns]
-    return j.select(*keep, *out)
+    return df.select("*", *out)
+
+
+def score_map(scores: dict[str, tuple]) -> Column:
+    """Score table as a literal map key -> array of six DECIMAL(4,3) scores."""
+    entries = []
+    for k, vals in scores.items():
+        entries += [F.lit(k), F.array(*[F.lit(Decimal(str(v))).cast("decimal(4,3)") for v in vals])]
+    return F.create_map(*entries)
 
 
 def amount_band(total: Column) -> Column:

@@ -3,10 +3,10 @@
 The reference keeps per-key ValueState in a keyed stream. In batch the same
 answer comes from aggregates and window functions. Design rules used here:
 
-* "first record per key and day" style state (D-2, D-5, D-6, D-7) is computed
-  with a ``groupBy(...).agg(min_by(...))``: partial aggregation runs map-side,
-  so a hot user/device never lands all of its rows in one task;
-* "latest per key" (D-4, O-7) uses ``max_by`` the same way;
+* "first record per key and day" style state (D-2, D-5, D-6, D-7) and "latest
+  per key" (D-4, O-7) are a top-1 per key (``row_number() = 1``), which Spark
+  plans with a partial ``WindowGroupLimit`` in every map task before the
+  shuffle: a hot user/device ships one row per task, never all of its rows;
 * running comparisons (D-3 lead, D-9/D-10 running max) use window functions
   partitioned by a *fact primary key* (order-detail id / user id after the
   per-day reduction), whose versions per key are few by construction.
@@ -28,18 +28,23 @@ def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def _top1(df: DataFrame, keys: list, order: list[Column]) -> DataFrame:
+    """``row_number() = 1`` per key. Spark plans it as a partial ``WindowGroupLimit`` (top-1 per key
+    inside each map task) before the exchange and a final one after, so a hot key ships at most
+    one row per map task -- the sort-based equivalent of a combiner. ``max_by(struct)`` would fall
+    back to SortAggregate (struct buffers are not hash-aggregatable) and is slower."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+
+
 def first_per_group(df: DataFrame, keys: list, order: list) -> DataFrame:
-    """One row per ``keys``: the row with the smallest ``order`` tuple (map-side partial aggregate)."""
-    order_key = F.struct(*_cols(order))
-    agg = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in df.columns]), order_key).alias("_r"))
-    return agg.select("_r.*")
+    """One row per ``keys``: the row with the smallest ``order`` tuple."""
+    return _top1(df, keys, [c.asc() for c in _cols(order)])
 
 
 def last_per_group(df: DataFrame, keys: list, order: list) -> DataFrame:
-    """One row per ``keys``: the row with the largest ``order`` tuple (map-side partial aggregate)."""
-    order_key = F.struct(*_cols(order))
-    agg = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in df.columns]), order_key).alias("_r"))
-    return agg.select("_r.*")
+    """One row per ``keys``: the row with the largest ``order`` tuple."""
+    return _top1(df, keys, [c.desc() for c in _cols(order)])
 
 
 # D-2 -------------------------------------------------------------------------------------------

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import ts_to_date, window_strings
+from .state import first_per_group
 
 
 def _win(ts_col: str, duration: str):
@@ -40,10 +41,11 @@ def traffic_vc_ch_ar_is_new(page: DataFrame, duration: str = "10 seconds") -> Da
 
     uv needs "first record of the device that day". Instead of re-joining every
     record with its device state, the first record per (mid, day) is found with a
-    partial-aggregated ``min_by`` and contributes uv=1 to *its* window and keys;
-    all other measures are summed from the records directly. Both inputs are
-    reduced map-side and meet in one final aggregation -- no full-row shuffle,
-    so a device holding a third of all rows is still split across tasks.
+    top-1 per key (partial ``WindowGroupLimit`` before the shuffle) and contributes
+    uv=1 to *its* window and keys; all other measures are summed from the records
+    directly. Both inputs are reduced map-side and meet in one final aggregation --
+    no re-join of rows, and a device holding a third of all rows ships at most one
+    row per map task for its uv.
     """
     rows = page.select(
         F.col("common.mid").alias("mid"),
@@ -65,9 +67,7 @@ def traffic_vc_ch_ar_is_new(page: DataFrame, duration: str = "10 seconds") -> Da
         F.col("during_time").cast("bigint").alias("dur"),
     )
     firsts = (
-        rows.groupBy("mid", ts_to_date(F.col("ts")).alias("_day"))
-        .agg(F.min_by(F.struct(*keys, "ts"), F.col("ts")).alias("_f"))
-        .select("_f.*")
+        first_per_group(rows.withColumn("_day", ts_to_date(F.col("ts"))), ["mid", "_day"], ["ts"])
         .select(
             *keys,
             "ts",

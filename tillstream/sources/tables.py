@@ -15,10 +15,30 @@ TABLES = (
 ).split()
 
 
+MIN_SPLITS_CONF = "tillstream.scan.minSplits"
+_splits: dict[str, int] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Lazy parquet scan of a driver table.
+
+    A file written as a single row group is one scan task however large it is.
+    When a scan yields fewer splits than the cluster has cores (``tillstream.scan.minSplits``,
+    default ``defaultParallelism``), the rows are spread round-robin so the per-row work that
+    follows (JSON, decimals, regex) uses every core. Column pruning and filters still reach the
+    scan (Catalyst pushes them below the exchange). On a cluster reading thousands of
+    row groups the guard never fires.
+    """
     if name not in TABLES:
         raise KeyError(name)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    want = int(spark.conf.get(MIN_SPLITS_CONF, None) or spark.sparkContext.defaultParallelism)
+    if path not in _splits:
+        _splits[path] = df.rdd.getNumPartitions()
+    if _splits[path] < want:
+        df = df.repartition(want)
+    return df
 
 
 def epoch_ms(c) -> "F.Column":
