@@ -40,4 +40,4 @@ def flat(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 
 # Importing the modules registers their keys.
-from . import q_label, q_misc, q_trade, q_traffic  # noqa: E402,F401
+from . import q_label, q_misc, q_stream, q_trade, q_traffic  # noqa: E402,F401

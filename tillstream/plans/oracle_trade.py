@@ -281,7 +281,7 @@ FROM (SELECT sku_id, ts_ms, split_original_amount, split_activity_amount, split_
       FROM odl) o LEFT JOIN skun USING (sku_id) GROUP BY ALL"""
 
 ORACLE["strictly_newer_detail"] = with_(OD) + """SELECT id, sku_id, source_id, create_time FROM (
-  SELECT *, max(ts_ms) OVER (PARTITION BY id ORDER BY l_partkey, l_suppkey
+  SELECT *, max(ts_ms) OVER (PARTITION BY id ORDER BY l_partkey, l_suppkey, ts_ms
                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM od)
 WHERE pm IS NULL OR ts_ms > pm"""
 

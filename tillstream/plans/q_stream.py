@@ -1,0 +1,22 @@
+"""Rows-only streaming keys (no SQL oracle): T-2 monotonic watermark and T-6 late-data drop.
+
+Both run a Structured Streaming query to completion over the events table
+(``availableNow``) into the shared checkpoint folder and return its output.
+"""
+
+from __future__ import annotations
+
+from ..streaming import twins
+from .catalog import query
+
+
+@query("watermark_monotonic")
+def watermark_monotonic(spark, sf_dir):
+    """T-2: event-time windows with a zero-delay watermark (monotonous timestamps)."""
+    return twins.window_counts(spark, sf_dir, "1 hour", "0 seconds")
+
+
+@query("late_data_drop")
+def late_data_drop(spark, sf_dir):
+    """T-6: rows behind the watermark are dropped silently."""
+    return twins.late_data_drop(spark, sf_dir, "1 hour", "0 seconds")

@@ -314,7 +314,7 @@ def dws_trade_sku_order(spark, sf_dir):
 def strictly_newer_detail(spark, sf_dir):
     """D-9: per detail id keep versions whose create_time beats every earlier version."""
     d = _detail_versions(spark, sf_dir).withColumn("ct", F.col("create_time").cast("bigint"))
-    order = [F.col("sku_id").cast("bigint"), F.col("source_id").cast("bigint")]
+    order = [F.col("sku_id").cast("bigint"), F.col("source_id").cast("bigint"), F.col("ts_ms")]
     out = state.strictly_newer(d, "id", "ct", order)
     return out.select("id", "sku_id", "source_id", "create_time")
 

@@ -162,13 +162,14 @@ def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(*_log_columns(ev))
 
 
-def label_page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def label_page_log(spark: SparkSession, sf_dir: str, positions: DataFrame | None = None) -> DataFrame:
     """Typed log as the label pipeline sees it: a keyword search item is a category-3 name,
-    the one at position ``k % 6`` of the sorted names (FIXTURES.md, search item for M-2)."""
+    the one at position ``k % 6`` of the sorted names (FIXTURES.md, search item for M-2).
+    ``positions`` lets a stream twin pass the (static) category positions."""
     from .dims import category3_positions
 
     ev = events_keyed(spark, sf_dir)
-    pos = category3_positions(spark, sf_dir)
+    pos = positions if positions is not None else category3_positions(spark, sf_dir)
     ev = ev.join(pos, (ev["k"] % SEARCH_POSITIONS) == pos["pos"], "left")
     return ev.select(*_log_columns(ev, F.col("name")))
 

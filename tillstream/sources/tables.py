@@ -16,6 +16,8 @@ TABLES = (
 
 
 MIN_SPLITS_CONF = "tillstream.scan.minSplits"
+# When "true", table() returns file streams; set by tillstream.streaming.twins.as_stream().
+STREAM_CONF = "tillstream.source.stream"
 _splits: dict[str, int] = {}
 
 
@@ -32,6 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if spark.conf.get(STREAM_CONF, "false") == "true":
+        # stream twins: the same table replayed as a file stream (glob keeps it to this file)
+        schema = spark.read.parquet(path).schema
+        return spark.readStream.schema(schema).option("basePath", sf_dir.rstrip("/")).parquet(path[:-1] + "[t]")
     df = spark.read.parquet(path)
     want = int(spark.conf.get(MIN_SPLITS_CONF, None) or spark.sparkContext.defaultParallelism)
     if path not in _splits:
