@@ -15,7 +15,7 @@ from ..functions.time import age_years, decade, epoch_day_to_date, pay_time_slot
 from . import scoring
 from .enrich import category_chain, enrich, one_per_key, sku_chain
 from .interval import interval_join
-from .state import strictly_newer
+from .state import last_per_group, strictly_newer
 from .windows import _win
 
 MINUTE = 60_000
@@ -171,10 +171,12 @@ def uid_profile_agg(devices: DataFrame) -> DataFrame:
 
 
 def last_per_window(df: DataFrame, key: str, ts: str, duration: str = "2 minutes") -> DataFrame:
-    """W-8: per key and tumbling window, the last record wins (reduce = keep the later one)."""
-    cols = [c for c in df.columns]
-    agg = df.groupBy(_win(ts, duration), key).agg(F.max_by(F.struct(*cols), F.col(ts)).alias("_r"))
-    return agg.select(F.date_format(F.col("window.start"), "yyyy-MM-dd HH:mm:ss").alias("stt"), "_r.*")
+    """W-8: per key and tumbling window, the last record wins (reduce = keep the later one).
+    Top-1 per (key, window) -- reduced map-side before the shuffle like the reduce function."""
+    cols = list(df.columns)
+    w = df.withColumn("_wstart", _win(ts, duration).getField("start"))
+    last = last_per_group(w, [key, "_wstart"], [ts])
+    return last.select(F.date_format(F.col("_wstart"), "yyyy-MM-dd HH:mm:ss").alias("stt"), *cols)
 
 
 # ---- base2 / base4 / age level / final ----------------------------------------------------------

@@ -70,16 +70,16 @@ def retract_and_replace(
     that time (the reference's state TTL). Output has ``sign`` = 1 / -1.
     """
     w = Window.partitionBy(key).orderBy(*_cols(order))
-    nxt = F.lead(F.col(ts)).over(w)
-    marked = df.withColumn("_next_ts", nxt)
-    originals = marked.withColumn("sign", F.lit(1))
+    marked = df.withColumn("_next_ts", F.lead(F.col(ts)).over(w))
     has_next = F.col("_next_ts").isNotNull()
     if ttl_ms is not None:
         has_next = has_next & ((F.col("_next_ts") - F.col(ts)) <= F.lit(ttl_ms))
-    retractions = marked.filter(has_next).withColumn("sign", F.lit(-1))
+    # one pass: each record yields itself (+1) and, when replaced, its retraction (-1)
+    signs = F.when(has_next, F.array(F.lit(1), F.lit(-1))).otherwise(F.array(F.lit(1)))
+    out = marked.withColumn("sign", F.explode(signs))
     for c in amount_cols:
-        retractions = retractions.withColumn(c, -F.col(c))
-    return originals.unionByName(retractions).drop("_next_ts")
+        out = out.withColumn(c, F.when(F.col("sign") == -1, -F.col(c)).otherwise(F.col(c)))
+    return out.drop("_next_ts")
 
 
 # D-4 -------------------------------------------------------------------------------------------
