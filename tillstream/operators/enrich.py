@@ -26,9 +26,11 @@ def enrich(df: DataFrame, dim: DataFrame, df_key: str, dim_key: str, cols: dict[
 
 
 def one_per_key(dim: DataFrame, key: str) -> DataFrame:
-    """J-18: first-match lookups need one row per key; keep the smallest row per key (partial aggregate)."""
+    """J-18: first-match lookups need one row per key; keep the smallest row per key (top-1)."""
+    from .state import first_per_group
+
     other = [c for c in dim.columns if c != key]
-    return dim.groupBy(key).agg(F.min(F.struct(*other)).alias("_r")).select(key, "_r.*")
+    return first_per_group(dim, [key], other)
 
 
 def lookup_md5_default(df: DataFrame, dim: DataFrame, code: str, dim_code: str, name_field: str, out: str, default: str = "N/A") -> DataFrame:
