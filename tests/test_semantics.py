@@ -172,3 +172,14 @@ def test_change_log_sink_is_idempotent_per_batch(spark, tmp_path):
     sink(b1, 1)
     sink(b1, 1)  # a retried batch replaces its own folder
     assert sorted((r.id, r.v) for r in sink.state(spark).collect()) == [("a", "y"), ("b", "z")]
+
+
+def test_chunked_running_max_equals_plain_on_a_hot_key(spark):
+    import random
+
+    rnd = random.Random(7)
+    rows = [("hot", i, rnd.randint(0, 50)) for i in range(200)] + [("cold", i, rnd.randint(0, 50)) for i in range(7)]
+    df = spark.createDataFrame(rows, "k string, arrival long, v long")
+    plain = sorted((r.k, r.arrival) for r in state.strictly_newer(df, "k", "v", ["arrival"]).collect())
+    chunked = sorted((r.k, r.arrival) for r in state.strictly_newer_chunked(df, "k", "v", "arrival", 3).collect())
+    assert plain == chunked

@@ -13,6 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.maps import keep_keys
 from .state import last_per_group
 
 VALID_OPS = ("c", "u", "d", "r")
@@ -118,8 +119,7 @@ def columnwise_merge(changes: DataFrame, key: str, order: list[str]) -> DataFram
 
 def prune_columns(payload: Column, sink_columns: Column) -> Column:
     """O-12: keep only payload keys listed in the CSV ``sink_columns``."""
-    cols = F.split(sink_columns, ",")
-    return F.map_filter(payload, lambda k, v: F.array_contains(cols, k))
+    return keep_keys(payload, sink_columns)
 
 
 def fold_config(changes: DataFrame, key: str = "source_table", order: str = "seq") -> DataFrame:

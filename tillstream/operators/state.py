@@ -182,3 +182,23 @@ def strictly_newer(df: DataFrame, key: str, value: str, order: list) -> DataFram
     return df.withColumn("_prev_max", prev_max).filter(
         F.col("_prev_max").isNull() | (F.col(value) > F.col("_prev_max"))
     ).drop("_prev_max")
+
+
+def strictly_newer_chunked(df: DataFrame, key: str, value: str, order_col: str, width: int) -> DataFrame:
+    """D-9/D-10 for a numeric arrival column, split for hot keys.
+
+    Arrival positions are cut into chunks of ``width``. (1) the maximum value per (key, chunk) is a
+    partial aggregate; (2) each chunk's "maximum of all earlier chunks" is a running max over the
+    chunk rows of a key (one row per chunk, so bounded); (3) inside a (key, chunk) partition the
+    running max of earlier rows is combined with (2). Same rows as :func:`strictly_newer`, but no
+    task ever holds more than one chunk of a key.
+    """
+    d = df.withColumn("_chunk", F.floor(F.col(order_col) / F.lit(width)))
+    per_chunk = d.groupBy(key, "_chunk").agg(F.max(value).alias("_cmax"))
+    earlier_chunks = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    prior = per_chunk.select(key, "_chunk", F.max("_cmax").over(earlier_chunks).alias("_prior"))
+    j = d.join(prior, [key, "_chunk"], "inner")
+    inside = Window.partitionBy(key, "_chunk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    pm = F.greatest(F.max(F.col(value)).over(inside), F.col("_prior"))
+    out = j.withColumn("_pm", pm)
+    return out.filter(F.col("_pm").isNull() | (F.col(value) > F.col("_pm"))).drop("_chunk", "_prior", "_pm")
