@@ -8,7 +8,7 @@ model weight and rounded HALF_UP to 3 places (F-13); results are doubles.
 
 from __future__ import annotations
 
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,10 +64,6 @@ CATEGORY_SCORES = {
 CATEGORY_DEFAULT = (0.1, 0.2, 0.4, 0.5, 0.8, 0.9)
 
 
-def _weighted(raw: Column, weight: float) -> Column:
-    return F.round(raw * F.lit(weight).cast("decimal(4,3)"), 3).cast("double")
-
-
 def score_join(
     spark: SparkSession,
     df: DataFrame,
@@ -83,26 +79,36 @@ def score_join(
     Unknown keys get ``default`` (or null when no default); a null key gets null unless
     ``null_default`` (the search model scores a missing category as 0).
 
-    The score table is fixed and tiny, so it is embedded as a constant-folded literal
-    ``MAP<key, ARRAY<DECIMAL(4,3)>>`` looked up per row inside the generated code: the
-    same answer as a broadcast hash join without an exchange or a join operator.
+    The score table is fixed and tiny. Its weighted, HALF_UP-rounded values are computed once,
+    exactly, with Python decimals and embedded as a constant-folded ``MAP<key, ARRAY<DOUBLE>>``:
+    one map lookup per row and model inside the generated code, no arithmetic, no exchange,
+    no join -- the same answer as a broadcast hash join against the score table.
     """
-    lookup = score_map(scores)[key]
-    out = []
-    for i, b in enumerate(BUCKETS):
-        raw = lookup.getItem(i)
-        if default is not None:
-            filled = F.coalesce(raw, F.lit(Decimal(str(default[i]))).cast("decimal(4,3)"))
-            raw = filled if null_default else F.when(key.isNull(), F.lit(None)).otherwise(filled)
-        out.append(_weighted(raw, weight).alias(f"{prefix}_{b}"))
-    return df.select("*", *out)
+    arr = f"_{prefix}_scores"
+    lookup = score_map(scores, weight)[key]
+    if default is not None:
+        filled = F.coalesce(lookup, _double_array(weighted_scores(default, weight)))
+        lookup = filled if null_default else F.when(key.isNull(), F.lit(None)).otherwise(filled)
+    with_arr = df.withColumn(arr, lookup)
+    out = [F.col(arr).getItem(i).alias(f"{prefix}_{b}") for i, b in enumerate(BUCKETS)]
+    return with_arr.select(*df.columns, *out)
+
+
+def weighted_scores(raw: tuple, weight: float) -> list[float]:
+    """round(score * weight, 3) HALF_UP on exact decimals (F-13), as doubles."""
+    w = Decimal(str(weight))
+    return [float((Decimal(str(v)) * w).quantize(Decimal("0.001"), rounding=ROUND_HALF_UP)) for v in raw]
+
+
+def _double_array(vals: list[float]) -> Column:
+    return F.array(*[F.lit(v).cast("double") for v in vals])
 
 
-def score_map(scores: dict[str, tuple]) -> Column:
-    """Score table as a literal map key -> array of six DECIMAL(4,3) scores."""
+def score_map(scores: dict[str, tuple], weight: float) -> Column:
+    """Score table as a literal map key -> array of six weighted scores."""
     entries = []
     for k, vals in scores.items():
-        entries += [F.lit(k), F.array(*[F.lit(Decimal(str(v))).cast("decimal(4,3)") for v in vals])]
+        entries += [F.lit(k), _double_array(weighted_scores(vals, weight))]
     return F.create_map(*entries)
 
 
