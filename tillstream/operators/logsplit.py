@@ -1,8 +1,8 @@
 """Behaviour-log DWD operators: P-1 parse + dirty side output, D-1 is_new
 correction, O-15 five-way split (err / start / page / display / action).
 
-Batch forms are pure DataFrame -> DataFrame functions; the streaming job in
-:mod:`tillstream.streaming.jobs` reuses them inside ``foreachBatch``.
+Batch forms are pure DataFrame -> DataFrame functions; the stream twins in
+:mod:`tillstream.streaming.twins` run the same parse on a text stream.
 """
 
 from __future__ import annotations

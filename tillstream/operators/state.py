@@ -7,9 +7,11 @@ answer comes from aggregates and window functions. Design rules used here:
   per key" (D-4, O-7) are a top-1 per key (``row_number() = 1``), which Spark
   plans with a partial ``WindowGroupLimit`` in every map task before the
   shuffle: a hot user/device ships one row per task, never all of its rows;
-* running comparisons (D-3 lead, D-9/D-10 running max) use window functions
-  partitioned by a *fact primary key* (order-detail id / user id after the
-  per-day reduction), whose versions per key are few by construction.
+* running comparisons (D-3 lead, D-9 running max) use window functions
+  partitioned by a *fact primary key* (order-detail id), whose versions per key
+  are few by construction; D-7 windows run after the per-day reduction; D-10,
+  keyed by user, uses :func:`strictly_newer_chunked` so a hot user is split by
+  arrival chunk.
 
 Arrival order in the fixtures is total: ``ts`` plus a tie-breaker column.
 """
