@@ -183,3 +183,14 @@ def test_chunked_running_max_equals_plain_on_a_hot_key(spark):
     plain = sorted((r.k, r.arrival) for r in state.strictly_newer(df, "k", "v", ["arrival"]).collect())
     chunked = sorted((r.k, r.arrival) for r in state.strictly_newer_chunked(df, "k", "v", "arrival", 3).collect())
     assert plain == chunked
+
+
+def test_sensitive_hits_inline_and_broadcast_paths_agree(spark):
+    from tillstream.operators import comments
+
+    df = spark.createDataFrame([(1, "Die Katze, die QUE-und was"), (2, "nothing here"), (3, None)], "id long, comment_txt string")
+    small = ["die", "que", "und"]
+    big = small + [f"zz{i}" for i in range(300)]
+    a = sorted((r.id, r.hits) for r in comments.sensitive_hits(spark, df, words=small).collect())
+    b = sorted((r.id, r.hits) for r in comments.sensitive_hits(spark, df, words=big).collect())
+    assert a == b == [(1, 4), (2, 0), (3, 0)]
