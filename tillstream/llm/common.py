@@ -7,7 +7,18 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, prepare
+
+
+#: Largest Arrow batch handed to a Python worker: texts and packed blocks make long rows.
+ARROW_BATCH = "16m"
+
+
+def session(spark: SparkSession) -> SparkSession:
+    """The session with the settings that the operators rely on."""
+    spark = prepare(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH)
+    return spark
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

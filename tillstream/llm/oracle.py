@@ -57,3 +57,35 @@ SELECT doc_id, source, text, CAST(copy AS INTEGER) AS copy,
        (CAST(CAST('0x' || substr(md5(concat('18|', tag, '|', copy)), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0 AS order_key
 FROM copies
 """
+
+# Vectors with a null or non-finite component, zero vectors and null labels link with nothing.
+ORACLE["op3_embedding_near_dedup"] = """
+WITH RECURSIVE wide AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+fit AS (
+  SELECT * FROM wide
+  WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NOT NULL AND isfinite(x))) = len(v)
+    AND list_dot_product(v, v) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM fit a JOIN fit b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (
+  SELECT x, y FROM links
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+smallest AS (SELECT x, min(y) AS y FROM reach GROUP BY x),
+counted AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT w.vec_id, coalesce(n, 0) AS n_links, least(w.vec_id, coalesce(s.y, w.vec_id)) AS component_id,
+       w.vec_id <= coalesce(s.y, w.vec_id) AS kept
+FROM wide w LEFT JOIN smallest s ON w.vec_id = s.x LEFT JOIN counted c ON w.vec_id = c.x
+"""
+
+ORACLE["op7_exact_top_k"] = """
+WITH ints AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM ints q JOIN ints c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""

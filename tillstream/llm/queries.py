@@ -8,12 +8,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import prepare
-from . import bpe, line_dedup, mixing, quality, simhash
-from .common import read
+from . import bpe, chunk_dedup, embed_dedup, line_dedup, mixing, quality, secret_scan, sharding, simhash, topk
+from .common import read, session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TOKENIZER = "byte_bpe_50k.json"
@@ -21,7 +20,7 @@ TOKENIZER = "byte_bpe_50k.json"
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(prepare(spark), sf_dir)
+        return fn(session(spark), sf_dir)
 
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__
     QUERIES[fn.__name__] = run
@@ -37,6 +36,38 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every whole text, base kinds and owner-specific tokens."""
+    found = secret_scan.secrets(read(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == secret_scan.KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(secret_scan.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
+        "n_live",
+        "n_copied",
+    )
+
+
+@query
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of equal label."""
+    return embed_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the chunks that an earlier document holds."""
+    return chunk_dedup.dedup(read(spark, sf_dir, "documents"))
+
+
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the later repeats of runs of lines deleted."""
@@ -57,6 +88,12 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five best inner products for every fiftieth vector."""
+    return topk.top_k(read(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of every document and the smallest id of its group."""
@@ -70,6 +107,21 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "text", F.col("__copy").alias("copy"), F.col("__order").alias("order_key"))
 
 
+@query
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of equal row counts, with digests of what was moved."""
+    out = sharding.shard(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
+        F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        F.col("__shard").cast("int").alias("shard"),
+        F.col("__slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline`` over ``documents``."""
