@@ -5,8 +5,9 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-STREAM_KEYS = {"watermark_monotonic", "late_data_drop"}
-BATCH_KEYS = sorted(k for k in E.queries() if k not in STREAM_KEYS)
+from tillstream.plans import QUERIES  # noqa: E402
+
+BATCH_KEYS = sorted(QUERIES)
 
 
 def plan(spark, key: str) -> str:
@@ -23,12 +24,12 @@ def test_no_python_in_batch_plans(spark, key):
 
 def test_flagship_reduces_map_side_and_never_rejoins_rows(spark):
     p = plan(spark, "dws_traffic_vc_ch_ar_is_new")
-    assert "WindowGroupLimit" in p and "partial_sum" in p
+    assert "partial_sum" in p and p.count("FileScan parquet") == 1
     assert "SortMergeJoin" not in p and "BroadcastHashJoin" not in p
     assert "SortAggregate" not in p
 
 
-@pytest.mark.parametrize("key", ["dwd_trade_order_detail", "order_keep_latest", "cart_daily_unique", "label_last_per_window", "score_brand"])
+@pytest.mark.parametrize("key", ["dwd_trade_order_detail", "order_keep_latest", "cart_daily_unique", "label_last_per_window"])
 def test_latest_per_key_uses_top1_not_sort_aggregate(spark, key):
     p = plan(spark, key)
     assert "SortAggregate" not in p
@@ -57,3 +58,24 @@ def test_scan_reads_only_projected_columns(spark):
 def test_score_tables_need_no_join(spark):
     p = plan(spark, "score_device")
     assert "score_key" not in p
+
+
+def test_no_fixed_repartitions_in_any_batch_plan(spark):
+    for key in BATCH_KEYS:
+        assert "REPARTITION_BY_NUM" not in plan(spark, key), key
+
+
+@pytest.mark.parametrize(("key", "most"), [("label_age_level", 2), ("label_final", 2), ("dws_trade_sku_order", 1), ("dim_sku_chain", 1), ("score_device", 0), ("score_pay_time", 0)])
+def test_part_is_scanned_once_for_all_lookups(spark, key, most):
+    scans = [x for x in plan(spark, key).split("FileScan parquet")[1:] if "part.parquet" in x.split("\n")[0]]
+    assert len(scans) <= most
+
+
+def test_dictionary_lookup_is_no_shuffle(spark):
+    p = plan(spark, "dim_lookup_default")
+    assert "SortMergeJoin" not in p and "hashpartitioning(md5" not in p
+
+
+def test_columnwise_merge_is_one_pass(spark):
+    p = plan(spark, "dim_columnwise_upsert")
+    assert "SortAggregate" not in p and "WindowGroupLimit" in p

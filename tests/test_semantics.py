@@ -185,12 +185,106 @@ def test_chunked_running_max_equals_plain_on_a_hot_key(spark):
     assert plain == chunked
 
 
-def test_sensitive_hits_inline_and_broadcast_paths_agree(spark):
+def test_sensitive_hits_do_not_depend_on_dictionary_size_or_ids(spark, tmp_path):
     from tillstream.operators import comments
 
-    df = spark.createDataFrame([(1, "Die Katze, die QUE-und was"), (2, "nothing here"), (3, None)], "id long, comment_txt string")
-    small = ["die", "que", "und"]
-    big = small + [f"zz{i}" for i in range(300)]
-    a = sorted((r.id, r.hits) for r in comments.sensitive_hits(spark, df, words=small).collect())
-    b = sorted((r.id, r.hits) for r in comments.sensitive_hits(spark, df, words=big).collect())
-    assert a == b == [(1, 4), (2, 0), (3, 0)]
+    rows = [(1, "Die Katze, die QUE-und was"), (1, "die"), (None, "die die"), (2, "nothing here"), (3, None)]
+    df = spark.createDataFrame(rows, "id long, comment_txt string")
+    small = ["Die", "die", "que", "und"]
+    want = [0, 0, 1, 2, 4]
+    for words in (small, small + [f"zz{i}" for i in range(5000)]):
+        assert sorted(r.hits for r in comments.sensitive_hits(df, words=words).collect()) == want
+    assert sorted(r.hits for r in comments.sensitive_hits(df, words=[]).collect()) == [0] * 5
+    (tmp_path / "words.txt").write_text("Die\n\n que \nund\ndie\n")
+    loaded = comments.load_dictionary(spark, str(tmp_path / "words.txt"))
+    assert loaded == ["die", "que", "und"]
+    assert sorted(r.hits for r in comments.sensitive_hits(df, words=loaded).collect()) == want
+
+
+LOG_ROW = "common struct<mid:string,is_new:string,vc:string,ch:string,ar:string>, page struct<last_page_id:string,during_time:long>, ts long, event_id long"
+
+
+def _log(spark, rows):
+    data = [((mid, new, "v", ch, "a"), (None, 5), ts, i) for mid, new, ch, ts, i in rows]
+    return spark.createDataFrame(data, LOG_ROW)
+
+
+TIED = [("m", "1", "c1", 1000, 2), ("m", "1", "c2", 1000, 1), ("m", "1", "c1", 2000, 3), ("m", "1", "c1", 90_000_000, 4), (None, "1", "c1", 5, 5), (None, "1", "c1", 90_000_005, 6)]
+
+
+def test_first_view_rule_on_ties_nulls_and_any_order(spark):
+    from tillstream.operators import logsplit, windows
+
+    for rows in (TIED, TIED[::-1], TIED[2:] + TIED[:2]):
+        log = _log(spark, rows)
+        d6 = state.page_view_measures(log).collect()
+        assert len(d6) == 6 and sorted((r.mid, r.ts, r.ch) for r in d6 if r.uv_ct) == [("m", 1000, "c2"), ("m", 90_000_000, "c1")]
+        w6 = {(r.ch, r.cur_date): (r.uv_ct, r.pv_ct) for r in windows.traffic_vc_ch_ar_is_new(log, "1 day").collect()}
+        assert w6 == {("c1", "1970-01-01"): (0, 3), ("c2", "1970-01-01"): (1, 1), ("c1", "1970-01-02"): (1, 2)}
+        d1 = sorted((r.event_id, r.common.is_new) for r in logsplit.fix_is_new(log).collect())
+        assert d1 == [(1, "1"), (2, "1"), (3, "1"), (4, "0"), (5, "1"), (6, "1")]
+
+
+def test_last_per_window_breaks_ties_by_event_id(spark):
+    from tillstream.operators import labels
+
+    rows = [("u", 1000, 1, "a"), ("u", 1000, 2, "b"), ("u", 999, 3, "c")]
+    for r in (rows, rows[::-1]):
+        df = spark.createDataFrame(r, "uid string, ts long, event_id long, v string")
+        assert [x.v for x in labels.last_per_window(df, "uid", "ts").collect()] == ["b"]
+
+
+def test_chunked_running_max_keeps_null_keys_and_arrivals(spark):
+    rows = [(None, 1, 5), (None, 2, 4), (None, 9, 6), ("k", None, 3), ("k", 4, 2), ("k", 5, 7)]
+    df = spark.createDataFrame(rows, "k string, arrival long, v long")
+    rows_of = lambda d: sorted((str(r.k), r.v) for r in d.collect())
+    plain = rows_of(state.strictly_newer(df, "k", "v", ["arrival"]))
+    assert rows_of(state.strictly_newer_chunked(df, "k", "v", "arrival", 3)) == plain == [("None", 5), ("None", 6), ("k", 3), ("k", 7)]
+
+
+def test_hot_device_is_spread_over_groups(spark):
+    from tillstream.operators import logsplit
+
+    rows = [("hot" if i % 3 else f"m{i}", "1", "c", i, i) for i in range(6000)]
+    p = logsplit.fix_is_new(_log(spark, rows))._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in p
+    salted = _log(spark, rows).where("common.mid = 'hot'").groupBy(F.pmod(F.xxhash64("event_id", "ts"), F.lit(logsplit.SALTS))).count()
+    assert max(r["count"] for r in salted.collect()) < 4000 / logsplit.SALTS * 1.5
+
+
+def test_first_token_with_long_separators(spark):
+    from tillstream.functions import text
+
+    df = spark.createDataFrame([("ab||cd|e", "x-y")], "a string, b string")
+    got = df.select(text.first_token(F.col("a"), "||"), text.first_token(F.col("b"), "-"), text.first_token(F.col("a"), "|")).collect()[0]
+    assert tuple(got) == ("ab", "x", "ab")
+
+
+def test_parse_can_fail_on_bad_lines(spark):
+    import pytest
+
+    from tillstream.operators import logsplit
+
+    df = spark.createDataFrame([('{"ts": 1}',), ("{bad",)], "value string")
+    assert logsplit.dirty_rows(logsplit.parse_log(df)).count() == 1
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        logsplit.parse_log(df, fail_fast=True).collect()
+
+
+def test_small_tables_are_pinned_and_large_ones_left(spark):
+    from tillstream.sources.tables import small
+
+    dim = spark.range(50).withColumnRenamed("id", "k")
+    df = spark.range(100).withColumnRenamed("id", "x")
+    a = df.join(small(dim).withColumnRenamed("k", "x"), "x")
+    b = df.join(small(dim, most=10).withColumnRenamed("k", "x"), "x")
+    assert a.count() == b.count() == 50
+    assert "BroadcastHashJoin" in a._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sku_sums_use_the_split_original_amount(spark):
+    from tillstream.operators import windows
+
+    df = spark.createDataFrame([("s", 0, 10, 20, 1, 2, 17)], "sku_id string, ts_ms long, order_price long, split_original_amount long, split_activity_amount long, split_coupon_amount long, split_total_amount long")
+    r = windows.sku_order(df).collect()[0]
+    assert (r.original_amount, r.order_amount) == (20, 17)

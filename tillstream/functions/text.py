@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,8 +12,8 @@ EXCLUDED_PROVINCES = ("澳门特别行政区", "台湾省", "香港特别行政
 
 
 def first_token(c: Column, sep: str) -> Column:
-    """``split(x, sep)[0]`` with a literal separator (regex-escaped)."""
-    return F.split(c, "\\" + sep if sep in ".|*+?()[]{}^$\\-" else sep).getItem(0)
+    """``split(x, sep)[0]`` with a literal separator of any length."""
+    return F.split(c, re.escape(sep)).getItem(0)
 
 
 def underscored(c: Column) -> Column:

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.maps import keep_keys
+from ..sources.tables import small
 from .state import last_per_group
 
 VALID_OPS = ("c", "u", "d", "r")
@@ -96,22 +97,20 @@ def columnwise_merge(changes: DataFrame, key: str, order: list[str]) -> DataFram
     ``changes`` has ``op``, ``before``/``after`` maps, the ``key`` column and ``order`` columns.
     Result: one row per live key with ``cells`` = MAP<column, value>.
 
-    Plan: per key the last delete position and last change (partial aggregate); surviving
-    changes explode into (key, column, value) cells; the last non-empty value per cell wins
-    (partial aggregate); cells fold back into one map per key (bounded by the column count).
+    Plan, one scan: every change explodes into (key, column, value) cells, a delete into one mark; the last
+    cell per (key, column) is a top-1, reduced inside each map task before the shuffle, so a hot key ships
+    one row per column and task; of what is left (at most the column count per key) the cells after the
+    key's last delete fold into one map.
     """
-    pos = F.struct(*[F.col(c) for c in order])
-    marks = changes.groupBy(key).agg(
-        F.max(F.when(F.col("op") == "d", pos)).alias("_last_del"),
-        F.max_by(F.col("op"), pos).alias("_last_op"),
+    pos = [F.col(c) for c in order]
+    cells = F.when(F.col("op") == "d", F.array(F.struct(F.lit(None).cast("string").alias("col"), F.lit("d").alias("val")))).otherwise(
+        F.transform(F.map_entries("after"), lambda e: F.struct(e["key"].alias("col"), e["value"].alias("val")))
     )
-    live = marks.filter(F.col("_last_op") != "d")
-    puts = changes.filter(F.col("op") != "d").join(live, key, "inner")
-    puts = puts.filter(F.col("_last_del").isNull() | (pos > F.col("_last_del")))
-    cells = puts.select(key, pos.alias("_pos"), F.explode(F.col("after")).alias("col", "val"))
-    cells = cells.filter(F.col("val").isNotNull() & (F.col("val") != ""))
-    latest = cells.groupBy(key, "col").agg(F.max_by("val", "_pos").alias("val"))
-    return latest.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("col", "val"))).alias("cells"))
+    each = changes.select(key, *order, F.explode(cells).alias("_c")).select(key, *order, "_c.col", "_c.val").where("val is not null and val <> ''")
+    last = last_per_group(each, [key, "col"], pos).withColumn("_pos", F.struct(*pos))
+    gone = F.max(F.when(F.col("col").isNull(), F.col("_pos"))).over(Window.partitionBy(key))
+    alive = last.withColumn("_gone", gone).where("col is not null and (_gone is null or _pos > _gone)")
+    return alive.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("col", "val"))).alias("cells"))
 
 
 # ---- O-12 / O-13 / O-13a / O-13b / O-14 ---------------------------------------------------------
@@ -138,9 +137,9 @@ def config_actions(changes: DataFrame) -> DataFrame:
 
 
 def route_dim(data: DataFrame, config: DataFrame) -> DataFrame:
-    """O-13: valid change rows ⋈ current config on source table (config broadcast: one row per
-    configured table). Emits sink table, row key, op and the pruned payload."""
-    cfg = F.broadcast(config.select("source_table", "sink_table", "sink_columns", "sink_row_key"))
+    """O-13: valid change rows ⋈ current config on source table (broadcast if it has few rows, as
+    counted: one row per configured table). Emits sink table, row key, op and the pruned payload."""
+    cfg = small(config.select("source_table", "sink_table", "sink_columns", "sink_row_key"))
     j = data.join(cfg, data["source"]["table"] == cfg["source_table"], "inner")
     payload = prune_columns(F.col("after"), F.col("sink_columns"))
     return j.select(
@@ -154,7 +153,7 @@ def route_dim(data: DataFrame, config: DataFrame) -> DataFrame:
 
 def route_dwd(data: DataFrame, config: DataFrame) -> DataFrame:
     """O-14: change rows ⋈ config on (table, op); the row image is after-else-before; adds ts_ms."""
-    cfg = F.broadcast(config)
+    cfg = small(config)
     j = data.join(
         cfg, (data["source"]["table"] == cfg["source_table"]) & (data["op"] == cfg["source_type"]), "inner"
     )

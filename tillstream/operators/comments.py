@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import ts_to_partition
@@ -14,8 +14,6 @@ SENSITIVE_WORDS = ["die", "que", "und", "les", "was"]
 
 # Whole-text tokenizer for flagging: maximal runs of letters / digits, lower-cased.
 WORD_SPLIT = r"[^\p{L}\p{N}]+"
-# Dictionaries up to this size are matched in-row (array_contains); larger ones via broadcast join.
-INLINE_DICT_MAX = 256
 
 
 def flatten(topic: DataFrame) -> DataFrame:
@@ -53,41 +51,29 @@ def join_comment_order(comments: DataFrame, orders: DataFrame, fields: list[str]
     return j.drop("_oid", "o_ts")
 
 
-def sensitive_hits(spark: SparkSession, comments: DataFrame, text: str = "comment_txt", key: str = "id", words: list[str] | None = None) -> DataFrame:
+def load_dictionary(spark: SparkSession, path: str) -> list[str]:
+    """O-6d: a dictionary file, one word per line: lower-cased, distinct, without blanks, sorted."""
+    word = F.lower(F.trim("value"))
+    rows = spark.read.text(path).select(word.alias("w")).where(F.col("w") != "").distinct().orderBy("w").collect()
+    return [r["w"] for r in rows]
+
+
+def sensitive_hits(comments: DataFrame, text: str = "comment_txt", words: list[str] | None = None) -> DataFrame:
     """O-28: per comment, how many of its tokens are in the sensitive dictionary (whole text).
 
-    A dictionary of at most ``INLINE_DICT_MAX`` words is inlined as a literal array and matched
-    per row with a higher-order ``filter`` -- no explode, no shuffle. A larger dictionary is
-    broadcast instead: tokens are exploded JVM-side, hash-matched, counted per comment with a
-    partial aggregate and joined back so clean comments get 0.
+    One path for any dictionary: its distinct lower-cased words are a constant hash set inside the generated
+    code, tested per token of the row. No id, no explode and no shuffle, so repeated or null ids and
+    repeated words change nothing. A null text has 0 hits.
     """
-    words = words or SENSITIVE_WORDS
-    if len(words) <= INLINE_DICT_MAX:
-        dict_arr = F.array(*[F.lit(w) for w in words])
-        toks = F.split(F.lower(F.col(text)), WORD_SPLIT)
-        hits = F.size(F.filter(toks, lambda t: F.array_contains(dict_arr, t)))
-        return comments.withColumn("hits", F.coalesce(hits, F.lit(0)).cast("bigint"))
-    dic = spark.createDataFrame([(w,) for w in words], "word STRING")
-    toks = comments.select(key, F.explode(F.split(F.lower(F.col(text)), WORD_SPLIT)).alias("tok"))
-    hits = toks.join(F.broadcast(dic), toks["tok"] == dic["word"], "inner").groupBy(key).agg(F.count(F.lit(1)).alias("_hits"))
-    out = comments.join(hits, key, "left")
-    return out.withColumn("hits", F.coalesce(F.col("_hits"), F.lit(0)).cast("bigint")).drop("_hits")
-
-
-def sample_flag(id_col: Column, one_in: int = 5) -> Column:
-    """O-29 deterministic p = 1/one_in sampling on the id (reproducible, oracle-checkable)."""
-    return F.pmod(id_col, F.lit(one_in)) == 0
-
-
-def sample_append(comments: DataFrame, key: str = "id", text: str = "comment_txt", words: list[str] | None = None, one_in: int = 5) -> DataFrame:
-    """O-29: for sampled comments append ``"," + word`` (word picked by id) to the text."""
-    w = words or SENSITIVE_WORDS
-    arr = F.array(*[F.lit(x) for x in w])
-    pick = F.element_at(arr, (F.pmod(F.floor(F.col(key) / one_in), F.lit(len(w))) + 1).cast("int"))
-    sampled = sample_flag(F.col(key), one_in)
-    return comments.withColumn("appended", F.when(sampled, pick)).withColumn(
-        text, F.when(sampled, F.concat(F.col(text), F.lit(","), pick)).otherwise(F.col(text))
-    )
+    known = sorted({w.lower() for w in (SENSITIVE_WORDS if words is None else words)})
+    tokens = F.split(F.lower(F.col(text)), WORD_SPLIT)
+    hits = F.size(F.filter(tokens, lambda t: t.isin(known))) if known else F.lit(0)
+    return comments.withColumn("hits", F.coalesce(hits, F.lit(0)).cast("bigint"))
+
+
+def sample_comments(comments: DataFrame, key: str = "id", one_in: int = 5) -> DataFrame:
+    """O-29 as a sampling operator: the comments whose id falls in the sample (p = 1 / ``one_in``, reproducible)."""
+    return comments.where(F.pmod(F.col(key), F.lit(one_in)) == 0)
 
 
 def with_ds(df: DataFrame, ts: str = "ts_ms") -> DataFrame:

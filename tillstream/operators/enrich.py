@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import dims
+from ..sources.tables import small
 
 
 def enrich(df: DataFrame, dim: DataFrame, df_key: str, dim_key: str, cols: dict[str, str], how: str = "left") -> DataFrame:
@@ -34,50 +35,28 @@ def one_per_key(dim: DataFrame, key: str) -> DataFrame:
 
 
 def lookup_md5_default(df: DataFrame, dim: DataFrame, code: str, dim_code: str, name_field: str, out: str, default: str = "N/A") -> DataFrame:
-    """J-16: dimension stored under ``md5(code)`` row keys; a miss yields ``default``."""
-    d = dim.select(F.md5(F.col(dim_code)).alias("_rk"), F.col(name_field).alias("_name"))
-    j = df.join(F.broadcast(d) if dim.isLocal() else d, F.md5(df[code]) == F.col("_rk"), "left")
+    """J-16: dimension stored under ``md5(code)`` row keys; a miss yields ``default``. A dictionary of few rows
+    (counted) is broadcast, so the rows, which share a handful of codes, are not shuffled by them."""
+    d = small(dim.select(F.md5(F.col(dim_code)).alias("_rk"), F.col(name_field).alias("_name")))
+    j = df.join(d, F.md5(df[code]) == F.col("_rk"), "left")
     return j.withColumn(out, F.coalesce(F.col("_name"), F.lit(default))).drop("_rk", "_name")
 
 
 def category_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J-7: category3 ⋈ category2 ⋈ category1 -> (id, b3name, b2name, b1name)."""
-    c3 = dims.category3(spark, sf_dir)
-    c2 = dims.category2(spark, sf_dir)
-    c1 = dims.category1(spark, sf_dir)
-    j = c3.alias("b3").join(c2.alias("b2"), F.col("b3.category2_id") == F.col("b2.id"))
-    j = j.join(c1.alias("b1"), F.col("b2.category1_id") == F.col("b1.id"))
-    return j.select(
-        F.col("b3.id").alias("id"),
-        F.col("b3.name").alias("b3name"),
-        F.col("b2.name").alias("b2name"),
-        F.col("b1.name").alias("b1name"),
-    )
+    """J-7: category3 with its parents -> (id, b3name, b2name, b1name), one row per category3, one scan."""
+    return dims.category_dim(spark, sf_dir).select("id", "b3name", "b2name", "b1name")
 
 
 def sku_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J-8: sku ⋈ spu ⋈ trademark -> (skuid, spuid, c3id, tname)."""
-    sku = dims.sku(spark, sf_dir)
-    spu = dims.spu(spark, sf_dir)
-    tm = dims.trademark(spark, sf_dir)
-    j = sku.alias("k").join(spu.alias("p"), F.col("k.spu_id") == F.col("p.id"))
-    j = j.join(tm.alias("t"), F.col("p.tm_id") == F.col("t.id"))
-    return j.select(
-        F.col("k.id").alias("skuid"),
-        F.col("p.id").alias("spuid"),
-        F.col("p.category3_id").alias("c3id"),
-        F.col("t.tm_name").alias("tname"),
-    )
+    """J-8: sku with its spu and trademark -> (skuid, spuid, c3id, tname); skus without an spu are left out."""
+    d = dims.sku_dim(spark, sf_dir).where("spu_name is not null")
+    return d.select(F.col("id").alias("skuid"), F.col("spu_id").alias("spuid"), F.col("category3_id").alias("c3id"), F.col("trademark_name").alias("tname"))
 
 
 def sku_lookup_chain(spark: SparkSession, sf_dir: str, df: DataFrame, sku_col: str = "sku_id") -> DataFrame:
-    """J-15 (intended form, N-6): sku -> (name, spu); spu -> (name, trademark, category3);
-    trademark -> name; category3 -> (name, category2); category2 -> (name, category1);
-    category1 -> name. Each step is a left join, so a missing id skips the later steps."""
-    out = enrich(df, dims.sku(spark, sf_dir), sku_col, "id", {"sku_name": "sku_name", "spu_id": "spu_id"})
-    out = enrich(out, dims.spu(spark, sf_dir), "spu_id", "id", {"spu_name": "spu_name", "tm_id": "trademark_id", "category3_id": "category3_id"})
-    out = enrich(out, dims.trademark(spark, sf_dir), "trademark_id", "id", {"tm_name": "trademark_name"})
-    out = enrich(out, dims.category3(spark, sf_dir), "category3_id", "id", {"name": "category3_name", "category2_id": "category2_id"})
-    out = enrich(out, dims.category2(spark, sf_dir), "category2_id", "id", {"name": "category2_name", "category1_id": "category1_id"})
-    out = enrich(out, dims.category1(spark, sf_dir), "category1_id", "id", {"name": "category1_name"})
-    return out
+    """J-15 (intended form, N-6): sku -> (name, spu); spu -> (name, trademark, category3); trademark -> name;
+    category3 -> (name, category2); category2 -> (name, category1); category1 -> name. The steps of the chain
+    are columns of one denormalised dimension, so this is one left join; a missing id leaves the later
+    columns null."""
+    cols = ["sku_name", "spu_id", "spu_name", "trademark_id", "trademark_name", "category3_id", "category3_name", "category2_id", "category2_name", "category1_id", "category1_name"]
+    return enrich(df, dims.sku_dim(spark, sf_dir), sku_col, "id", {c: c for c in cols})

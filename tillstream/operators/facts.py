@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import small
 from ..functions.time import epoch_string_to_date
 from ..sources.cdc import detail_arrival
 from .state import keep_latest
@@ -86,7 +87,7 @@ def comment_with_dic(topic: DataFrame, base_dic: DataFrame) -> DataFrame:
     """J-1: comment ⋈ dictionary on appraise = dic_code; the name is the nested ``info.dic_name`` (N-3).
     Inner join: comments whose code has no dictionary row are dropped."""
     c = comment_info(topic)
-    dic = F.broadcast(base_dic.select("dic_code", F.col("info.dic_name").alias("appraise_name")))
+    dic = small(base_dic.select("dic_code", F.col("info.dic_name").alias("appraise_name")))
     j = c.join(dic, c["appraise"] == dic["dic_code"], "inner")
     return j.select("id", "user_id", "sku_id", "appraise", "appraise_name", "comment_txt", "ts_ms")
 

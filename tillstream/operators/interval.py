@@ -28,9 +28,8 @@ def interval_join(
     right_ts: str,
     lower_ms: int,
     upper_ms: int,
-    how: str = "inner",
 ) -> DataFrame:
-    """Bucketed interval join; output keeps all columns of both sides (names must not clash)."""
+    """Bucketed inner interval join; output keeps all columns of both sides (names must not clash)."""
     if lower_ms > upper_ms:
         raise ValueError("lower bound after upper bound")
     width = max(upper_ms - lower_ms, 1)
@@ -45,7 +44,7 @@ def interval_join(
         & (r2[right_ts] >= l2[left_ts] + F.lit(lower_ms))
         & (r2[right_ts] <= l2[left_ts] + F.lit(upper_ms))
     )
-    return l2.join(r2, cond, how).drop("_ib", "_rb")
+    return l2.join(r2, cond, "inner").drop("_ib", "_rb")
 
 
 def stream_interval_join(

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from ..functions.time import age_years, decade, epoch_day_to_date, pay_time_slot, zodiac
 from . import scoring
-from .enrich import category_chain, enrich, one_per_key, sku_chain
+from ..sources import dims
+from ..sources.tables import small
+from .enrich import category_chain, enrich, one_per_key
 from .interval import interval_join
 from .state import last_per_group, strictly_newer
 from .windows import _win
@@ -32,6 +34,7 @@ def device_info(log: DataFrame) -> DataFrame:
     return log.select(
         F.coalesce(c.uid, F.lit("-1")).alias("uid"),
         F.col("ts"),
+        F.col("event_id"),
         c.ar.alias("ar"),
         c.ch.alias("ch"),
         F.split(c.os, " ").getItem(0).alias("os"),
@@ -171,11 +174,11 @@ def uid_profile_agg(devices: DataFrame) -> DataFrame:
 
 
 def last_per_window(df: DataFrame, key: str, ts: str, duration: str = "2 minutes") -> DataFrame:
-    """W-8: per key and tumbling window, the last record wins (reduce = keep the later one).
+    """W-8: per key and tumbling window, the last record wins (by time, then event id).
     Top-1 per (key, window) -- reduced map-side before the shuffle like the reduce function."""
     cols = list(df.columns)
     w = df.withColumn("_wstart", _win(ts, duration).getField("start"))
-    last = last_per_group(w, [key, "_wstart"], [ts])
+    last = last_per_group(w, [key, "_wstart"], [ts, "event_id"] if "event_id" in cols else [ts])
     return last.select(F.date_format(F.col("_wstart"), "yyyy-MM-dd HH:mm:ss").alias("stt"), *cols)
 
 
@@ -187,9 +190,10 @@ def base2(spark: SparkSession, sf_dir: str, devices: DataFrame) -> DataFrame:
     from ..sources.dims import category_compare_dic
 
     cats = one_per_key(category_chain(spark, sf_dir).select("b3name", "b1name"), "b3name")
-    d = enrich(devices, cats, "search_item", "b3name", {"b1name": "b1_category"})
     cmp = one_per_key(category_compare_dic(spark).select("category_name", "search_category"), "category_name")
-    d = enrich(d, F.broadcast(cmp), "b1_category", "category_name", {"search_category": "search_category"})
+    # the two dimensions are joined first, so the events meet one small table and are not shuffled by its key
+    cats = small(enrich(cats, cmp, "b1name", "category_name", {"search_category": "search_category"}))
+    d = enrich(devices, cats, "search_item", "b3name", {"b1name": "b1_category", "search_category": "search_category"})
     d = scoring.score_device(spark, d)
     return scoring.score_search(spark, d)
 
@@ -202,10 +206,8 @@ def newest_per_detail(joined: DataFrame) -> DataFrame:
 
 def base4(spark: SparkSession, sf_dir: str, joined: DataFrame) -> DataFrame:
     """J-18 lookups (sku -> category3 id and brand name; category3 -> top category) + M-3 ... M-6."""
-    skus = one_per_key(sku_chain(spark, sf_dir).select("skuid", "c3id", "tname"), "skuid")
-    j = enrich(joined.withColumn("_sku", F.col("sku_id").cast("string")), skus, "_sku", "skuid", {"c3id": "c3id", "tname": "tname"}).drop("_sku")
-    cats = one_per_key(category_chain(spark, sf_dir).select("id", "b1name"), "id")
-    j = enrich(j, cats, "c3id", "id", {"b1name": "b1_name"})
+    skus = dims.sku_dim(spark, sf_dir).where("spu_name is not null")  # one row per sku
+    j = enrich(joined.withColumn("_sku", F.col("sku_id").cast("string")), skus, "_sku", "id", {"category3_id": "c3id", "trademark_name": "tname", "category1_name": "b1_name"}).drop("_sku")
     j = scoring.score_pay_time(spark, j)
     j = scoring.score_amount(spark, j)
     j = scoring.score_brand(spark, j)

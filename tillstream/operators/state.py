@@ -112,13 +112,14 @@ def home_detail_daily_uv(page: DataFrame, mid: str = "mid", page_id: str = "page
 
 
 def page_view_measures(page: DataFrame) -> DataFrame:
-    """D-6 per record: uv (first record of the device that day), sv (no previous page), pv=1, dur.
+    """D-6 per record: uv (the device's first record of the day), sv (no previous page), pv=1, dur.
 
-    ``page`` is the page topic with ``common``/``page`` structs. The uv flag is a join of each
-    record with its (mid, day) first timestamp; aggregations that only need sums should use
-    :func:`tillstream.operators.windows.traffic_vc_ch_ar_is_new`, which never re-joins rows.
+    The first record per (mid, day) in (ts, event_id) order is a top-1, reduced map-side; its flag goes back
+    to the records by their unique ``event_id``, so no join key is hot. A record without a device is kept
+    and counts as no visitor (N-19).
     """
     rows = page.select(
+        "event_id",
         F.col("common.mid").alias("mid"),
         F.col("common.vc").alias("vc"),
         F.col("common.ch").alias("ch"),
@@ -127,17 +128,17 @@ def page_view_measures(page: DataFrame) -> DataFrame:
         F.col("page.last_page_id").alias("last_page_id"),
         F.col("page.during_time").alias("during_time"),
         "ts",
-    ).withColumn("_day", ts_to_date(F.col("ts")))
-    firsts = rows.groupBy("mid", "_day").agg(F.min("ts").alias("_first_ts"))
-    j = rows.join(firsts, ["mid", "_day"], "inner")
-    return j.select(
+    )
+    seen = rows.where("mid is not null").select("mid", "ts", "event_id", ts_to_date(F.col("ts")).alias("_day"))
+    firsts = first_per_group(seen, ["mid", "_day"], ["ts", "event_id"]).select("event_id", F.lit(1).alias("_uv"))
+    return rows.join(firsts, "event_id", "left").select(
         "mid",
         "ts",
         "vc",
         "ch",
         "ar",
         "is_new",
-        F.when(F.col("ts") == F.col("_first_ts"), 1).otherwise(0).cast("bigint").alias("uv_ct"),
+        F.coalesce("_uv", F.lit(0)).cast("bigint").alias("uv_ct"),
         F.when(F.coalesce(F.col("last_page_id"), F.lit("")) == "", 1).otherwise(0).cast("bigint").alias("sv_ct"),
         F.lit(1).cast("bigint").alias("pv_ct"),
         F.col("during_time").cast("bigint").alias("dur_sum"),
@@ -192,14 +193,16 @@ def strictly_newer_chunked(df: DataFrame, key: str, value: str, order_col: str,
     Arrival positions are cut into chunks of ``width``. (1) the maximum value per (key, chunk) is a
     partial aggregate; (2) each chunk's "maximum of all earlier chunks" is a running max over the
     chunk rows of a key (one row per chunk, so bounded); (3) inside a (key, chunk) partition the
-    running max of earlier rows is combined with (2). Same rows as :func:`strictly_newer`, but no
-    task ever holds more than one chunk of a key.
+    running max of earlier rows is combined with (2). Same rows as :func:`strictly_newer`, null keys (one
+    key) and null arrivals (a first chunk of their own) included, but no task ever holds more than one
+    chunk of a key.
     """
     d = df.withColumn("_chunk", F.floor(F.col(order_col) / F.lit(width)))
     per_chunk = d.groupBy(key, "_chunk").agg(F.max(value).alias("_cmax"))
     earlier_chunks = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     prior = per_chunk.select(key, "_chunk", F.max("_cmax").over(earlier_chunks).alias("_prior"))
-    j = d.join(prior, [key, "_chunk"], "inner")
+    prior = prior.select(F.col(key).alias("_k"), F.col("_chunk").alias("_c"), "_prior")
+    j = d.join(prior, d[key].eqNullSafe(prior["_k"]) & d["_chunk"].eqNullSafe(prior["_c"]), "inner").drop("_k", "_c")
     inside = Window.partitionBy(key, "_chunk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     pm = F.greatest(F.max(F.col(value)).over(inside), F.col("_prior"))
     out = j.withColumn("_pm", pm)

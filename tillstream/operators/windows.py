@@ -8,11 +8,10 @@ results; lookups run after the aggregation, on the (small) window rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import ts_to_date, window_strings
-from .state import first_per_group
 
 
 def _win(ts_col: str, duration: str):
@@ -36,56 +35,44 @@ def window_sums(df: DataFrame, ts: str, duration: str, keys: list[str], sums: di
     return _finish(agg, keys, list(sums))
 
 
+# Room for an event id below the time in one ordering number.
+ID_SPAN = "1" + 19 * "0"
+
+
+def _arrival(ts: str, event_id: str) -> Column:
+    """(ts, event_id) as one decimal, so that the smallest pair is a plain hash aggregate."""
+    return F.col(ts).cast("decimal(15,0)") * F.lit(ID_SPAN).cast("decimal(20,0)") + F.col(event_id).cast("decimal(19,0)")
+
+
 def traffic_vc_ch_ar_is_new(page: DataFrame, duration: str = "10 seconds") -> DataFrame:
     """W-6 (+ D-6): page views per window and (vc, ch, ar, is_new): uv, sv, pv, duration sum.
 
-    uv needs "first record of the device that day". Instead of re-joining every
-    record with its device state, the first record per (mid, day) is found with a
-    top-1 per key (partial ``WindowGroupLimit`` before the shuffle) and contributes
-    uv=1 to *its* window and keys; all other measures are summed from the records
-    directly. Both inputs are reduced map-side and meet in one final aggregation --
-    no re-join of rows, and a device holding a third of all rows ships at most one
-    row per map task for its uv.
+    One scan. Records are first summed per (device, day, window, keys) with the smallest (ts, event_id) of
+    each group, partial sums first, so a device holding a third of all rows ships one row per group and
+    task. Over these reduced rows the group with the device's smallest arrival of the day gets uv = 1, and
+    a last aggregation sums the groups per window and keys. Records without a device count as no
+    visitor (N-19).
     """
+    keys = ["vc", "ch", "ar", "is_new"]
     rows = page.select(
         F.col("common.mid").alias("mid"),
-        F.col("common.vc").alias("vc"),
-        F.col("common.ch").alias("ch"),
-        F.col("common.ar").alias("ar"),
-        F.col("common.is_new").alias("is_new"),
-        F.col("page.last_page_id").alias("last_page_id"),
-        F.col("page.during_time").alias("during_time"),
-        "ts",
-    )
-    keys = ["vc", "ch", "ar", "is_new"]
-    measures = rows.select(
-        *keys,
-        "ts",
-        F.lit(0).cast("bigint").alias("uv"),
-        F.when(F.coalesce(F.col("last_page_id"), F.lit("")) == "", 1).otherwise(0).cast("bigint").alias("sv"),
-        F.lit(1).cast("bigint").alias("pv"),
-        F.col("during_time").cast("bigint").alias("dur"),
+        *[F.col(f"common.{k}").alias(k) for k in keys],
+        F.when(F.coalesce(F.col("page.last_page_id"), F.lit("")) == "", 1).otherwise(0).cast("bigint").alias("sv"),
+        F.col("page.during_time").cast("bigint").alias("dur"),
+        ts_to_date(F.col("ts")).alias("_day"),
+        _win("ts", duration),
+        _arrival("ts", "event_id").alias("_at"),
     )
-    firsts = (
-        first_per_group(rows.withColumn("_day", ts_to_date(F.col("ts"))), ["mid", "_day"], ["ts"])
-        .select(
-            *keys,
-            "ts",
-            F.lit(1).cast("bigint").alias("uv"),
-            F.lit(0).cast("bigint").alias("sv"),
-            F.lit(0).cast("bigint").alias("pv"),
-            F.lit(None).cast("bigint").alias("dur"),
-        )
+    groups = rows.groupBy("mid", "_day", "window", *keys).agg(
+        F.sum("sv").alias("sv"), F.count(F.lit(1)).alias("pv"), F.sum("dur").alias("dur"), F.min("_at").alias("_at")
     )
-    agg = (
-        measures.unionByName(firsts)
-        .groupBy(_win("ts", duration), *keys)
-        .agg(
-            F.sum("uv").alias("uv_ct"),
-            F.sum("sv").alias("sv_ct"),
-            F.sum("pv").alias("pv_ct"),
-            F.sum("dur").alias("dur_sum"),
-        )
+    first = F.row_number().over(Window.partitionBy("mid", "_day").orderBy(F.col("_at").asc_nulls_last()))
+    flagged = groups.withColumn("uv", F.when(F.col("mid").isNotNull() & (first == 1), 1).otherwise(0))
+    agg = flagged.groupBy("window", *keys).agg(
+        F.sum("uv").cast("bigint").alias("uv_ct"),
+        F.sum("sv").alias("sv_ct"),
+        F.sum("pv").alias("pv_ct"),
+        F.sum("dur").alias("dur_sum"),
     )
     return _finish(agg, keys, ["uv_ct", "sv_ct", "pv_ct", "dur_sum"])
 
@@ -108,7 +95,7 @@ def province_order(details: DataFrame, provinces: DataFrame, duration: str = "10
 
 
 SKU_SUMS = {
-    "original_amount": "order_price",
+    "original_amount": "split_original_amount",
     "activity_reduce_amount": "split_activity_amount",
     "coupon_reduce_amount": "split_coupon_amount",
     "order_amount": "split_total_amount",

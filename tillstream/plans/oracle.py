@@ -80,17 +80,20 @@ WORDS = r"""words AS (
   SELECT * FROM (SELECT mid, ts, unnest(regexp_split_to_array(lower(item), '\s+')) AS keyword FROM search)
   WHERE keyword <> '')"""
 
+ORACLE["src_event_text"] = with_(EV, LOG) + """SELECT FALSE AS dirty, event_id, mid, uid, vc, page_id, last_page_id, item, during_time, ts,
+  CAST(n_displays AS BIGINT) AS n_displays, has_err, has_start FROM log
+UNION ALL SELECT TRUE, event_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM log WHERE k % 17 = 0"""
+
 ORACLE["parse_dirty_split"] = with_(EV) + "SELECT '{bad ' || CAST(event_id AS VARCHAR) AS dirty FROM ev WHERE k % 17 = 0"
 
 ORACLE["visitor_is_new_fix"] = with_(
     EV,
     LOG,
-    f"""f AS (SELECT mid, CASE WHEN arg_min(is_new, ts) = '1' THEN {day('min(ts)')}
-                          ELSE {day('min(ts) - 86400000')} END AS first_state
-         FROM log GROUP BY mid)""",
+    f"""f AS (SELECT mid, CASE WHEN is_new = '1' THEN {day('ts')} ELSE {day('ts - 86400000')} END AS first_state
+         FROM log WHERE mid IS NOT NULL QUALIFY row_number() OVER (PARTITION BY mid ORDER BY ts, event_id) = 1)""",
 ) + f"""SELECT l.mid, l.ts, l.is_new,
   CASE WHEN l.is_new = '1' AND f.first_state <> {day('l.ts')} THEN '0' ELSE l.is_new END AS is_new_fixed
-FROM log l JOIN f USING (mid)"""
+FROM log l LEFT JOIN f USING (mid)"""
 
 ORACLE["log_split_err"] = with_(EV, LOG) + """SELECT mid, ts, k AS error_code, 'err ' || CAST(k AS VARCHAR) AS msg,
   page_id, CAST(n_displays AS BIGINT) AS n_displays, CAST(n_actions AS BIGINT) AS n_actions
@@ -112,7 +115,7 @@ ORACLE["log_split_action"] = with_(EV, LOG, PAGE) + """SELECT mid, page_id, 'a'
 FROM (SELECT *, unnest(generate_series(1, n_actions)) AS i FROM page WHERE n_actions > 0)"""
 
 ORACLE["page_view_measures"] = with_(EV, LOG, PAGE) + f"""SELECT mid, ts, vc, ch, ar, is_new,
-  CAST(CASE WHEN ts = min(ts) OVER (PARTITION BY mid, {day('ts')}) THEN 1 ELSE 0 END AS BIGINT) AS uv_ct,
+  CAST(CASE WHEN mid IS NOT NULL AND row_number() OVER (PARTITION BY mid, {day('ts')} ORDER BY ts, event_id) = 1 THEN 1 ELSE 0 END AS BIGINT) AS uv_ct,
   CAST(CASE WHEN coalesce(last_page_id, '') = '' THEN 1 ELSE 0 END AS BIGINT) AS sv_ct,
   CAST(1 AS BIGINT) AS pv_ct, during_time AS dur_sum
 FROM page"""
@@ -121,7 +124,7 @@ ORACLE["dws_traffic_vc_ch_ar_is_new"] = with_(
     EV,
     LOG,
     PAGE,
-    f"""m AS (SELECT *, CASE WHEN ts = min(ts) OVER (PARTITION BY mid, {day('ts')}) THEN 1 ELSE 0 END AS uv,
+    f"""m AS (SELECT *, CASE WHEN mid IS NOT NULL AND row_number() OVER (PARTITION BY mid, {day('ts')} ORDER BY ts, event_id) = 1 THEN 1 ELSE 0 END AS uv,
                  CASE WHEN coalesce(last_page_id, '') = '' THEN 1 ELSE 0 END AS sv FROM page)""",
 ) + f"""SELECT {win_cols('ts', '1 hour')}, vc, ch, ar, is_new,
   CAST(sum(uv) AS BIGINT) AS uv_ct, CAST(sum(sv) AS BIGINT) AS sv_ct,

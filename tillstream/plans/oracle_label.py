@@ -2,23 +2,72 @@
 
 from __future__ import annotations
 
-from ..operators import scoring
-from ..operators.comments import SENSITIVE_WORDS
 from .oracle import EV, ORACLE, with_
 from .oracle_trade import AS_OF_MS, COMMENT, OI, dec, vc
 
-B = scoring.BUCKETS
+# Fixed values, written out again so that a wrong score in the operators shows.
+BUCKETS = ["18_24", "25_29", "30_34", "35_39", "40_49", "50"]
+
+# Model weights.
+WEIGHTS = {"device": 0.1, "search": 0.15, "pay_time": 0.1, "amount": 0.15, "tname": 0.2, "b1name": 0.3}
+
+# Raw scores per bucket (18-24, 25-29, 30-34, 35-39, 40-49, 50+).
+DEVICE_SCORES = {
+    "iOS": (0.7, 0.6, 0.5, 0.4, 0.3, 0.2),
+    "Android": (0.8, 0.7, 0.6, 0.5, 0.4, 0.3),
+}
+SEARCH_SCORES = {
+    "时尚与潮流": (0.9, 0.7, 0.5, 0.3, 0.2, 0.1),
+    "性价比": (0.2, 0.4, 0.6, 0.7, 0.8, 0.8),
+    "健康与养生": (0.1, 0.2, 0.4, 0.6, 0.8, 0.7),
+    "家庭与育儿": (0.1, 0.2, 0.4, 0.6, 0.8, 0.7),
+    "科技与数码": (0.8, 0.6, 0.4, 0.3, 0.2, 0.1),
+    "学习与发展": (0.4, 0.5, 0.6, 0.7, 0.8, 0.7),
+}
+SEARCH_DEFAULT = (0.0, 0.0, 0.0, 0.0, 0.0, 0.0)
+PAY_TIME_SCORES = {
+    "凌晨": (0.2, 0.1, 0.1, 0.1, 0.1, 0.1),
+    "早晨": (0.1, 0.1, 0.1, 0.1, 0.2, 0.3),
+    "上午": (0.2, 0.2, 0.2, 0.2, 0.3, 0.4),
+    "中午": (0.4, 0.4, 0.4, 0.4, 0.4, 0.3),
+    "下午": (0.4, 0.5, 0.5, 0.5, 0.5, 0.4),
+    "晚上": (0.8, 0.7, 0.6, 0.5, 0.4, 0.3),
+    "夜间": (0.9, 0.7, 0.5, 0.3, 0.2, 0.1),
+}
+AMOUNT_SCORES = {
+    "low": (0.8, 0.6, 0.4, 0.3, 0.2, 0.1),  # total < 1000
+    "mid": (0.2, 0.4, 0.6, 0.7, 0.8, 0.7),  # 1000 < total < 4000
+    "high": (0.1, 0.2, 0.3, 0.4, 0.5, 0.6),  # everything else, including exactly 1000
+}
+BRAND_SCORES = {
+    "TCL": (0.2, 0.3, 0.4, 0.5, 0.6, 0.7),
+    "苹果": (0.9, 0.8, 0.7, 0.7, 0.7, 0.5),
+    "联想": (0.9, 0.8, 0.7, 0.7, 0.7, 0.5),
+    "小米": (0.9, 0.8, 0.7, 0.7, 0.7, 0.5),
+    "欧莱雅": (0.5, 0.6, 0.8, 0.8, 0.9, 0.2),
+    "香奈儿": (0.3, 0.4, 0.6, 0.8, 0.9, 0.2),
+}
+BRAND_DEFAULT = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6)
+CATEGORY_YOUNG = ("数码", "手机", "电脑办公", "个护化妆", "服饰内衣")
+CATEGORY_OLDER = ("家居家装", "图书、音像、电子书刊", "厨具", "鞋靴", "母婴", "汽车用品", "珠宝", "家用电器")
+CATEGORY_SCORES = {
+    **{c: (0.9, 0.8, 0.6, 0.4, 0.2, 0.1) for c in CATEGORY_YOUNG},
+    **{c: (0.2, 0.4, 0.6, 0.8, 0.9, 0.7) for c in CATEGORY_OLDER},
+}
+CATEGORY_DEFAULT = (0.1, 0.2, 0.4, 0.5, 0.8, 0.9)
+
+B = BUCKETS
 EPOCH_2024_MS = 1704067200000
 
 POS = """pos AS (SELECT p_type AS name, row_number() OVER (ORDER BY p_type) - 1 AS pos
   FROM (SELECT DISTINCT p_type FROM part))"""
 
 DEV = f"""dev AS (
-  SELECT coalesce(CASE WHEN k % 10 = 0 THEN NULL ELSE {vc('user_id')} END, '-1') AS uid, ts,
+  SELECT coalesce(CASE WHEN k % 10 = 0 THEN NULL ELSE {vc('user_id')} END, '-1') AS uid, ts, event_id,
     {vc('user_id % 7')} AS ar, 'ch' || {vc('user_id % 4')} AS ch,
     CASE WHEN user_id % 3 = 0 THEN 'iOS' WHEN user_id % 3 = 1 THEN 'Android' ELSE 'Other' END AS os,
     'v' || {vc('k % 3')} AS vc, CASE WHEN k % 2 = 0 THEN pos.name END AS search_item
-  FROM ev LEFT JOIN pos ON ev.k % 6 = pos.pos)"""
+  FROM ev LEFT JOIN pos ON ev.k % (SELECT count(*) FROM pos) = pos.pos)"""
 
 C1 = ("CASE left(p_type, 1) WHEN 'M' THEN '数码' WHEN 'S' THEN '家居家装' WHEN 'L' THEN '厨具' "
       "WHEN 'P' THEN '手机' WHEN 'E' THEN '其他' ELSE left(p_type, 1) END")
@@ -49,16 +98,16 @@ def score_cols(alias: str, prefix: str, weight: float, key: str, default=None, n
     return ", ".join(out)
 
 
-W = scoring.WEIGHTS
+W = WEIGHTS
 
 B2 = f"""b2 AS (
   SELECT d.*, cat.b1name AS b1_category, cmp.search_category, split_part(d.os, ',', 1) AS judge_os
   FROM dev d LEFT JOIN cat ON d.search_item = cat.b3name LEFT JOIN cmp ON cat.b1name = cmp.category_name),
-{score_values('sd', scoring.DEVICE_SCORES)},
-{score_values('ss', scoring.SEARCH_SCORES)},
+{score_values('sd', DEVICE_SCORES)},
+{score_values('ss', SEARCH_SCORES)},
 b2s AS (
   SELECT b2.*, {score_cols('sd', 'device', W['device'], 'b2.judge_os')},
-    {score_cols('ss', 'search', W['search'], 'b2.search_category', scoring.SEARCH_DEFAULT, True)}
+    {score_cols('ss', 'search', W['search'], 'b2.search_category', SEARCH_DEFAULT, True)}
   FROM b2 LEFT JOIN sd ON b2.judge_os = sd.score_key LEFT JOIN ss ON b2.search_category = ss.score_key)"""
 
 ORDERS = f"""o AS (
@@ -104,15 +153,15 @@ B4 = f"""skc AS (SELECT k.p_partkey AS sku_id, s.p_type AS c3id, {TMN} AS tname
   FROM part k JOIN part s ON s.p_partkey = k.p_partkey - k.p_partkey % 4),
 b4 AS (SELECT d9.*, skc.c3id, skc.tname, cat.b1name AS b1_name
   FROM d9 LEFT JOIN skc USING (sku_id) LEFT JOIN cat ON skc.c3id = cat.b3name),
-{score_values('sp', scoring.PAY_TIME_SCORES)},
-{score_values('sa', scoring.AMOUNT_SCORES)},
-{score_values('sb', scoring.BRAND_SCORES)},
-{score_values('sc', scoring.CATEGORY_SCORES)},
+{score_values('sp', PAY_TIME_SCORES)},
+{score_values('sa', AMOUNT_SCORES)},
+{score_values('sb', BRAND_SCORES)},
+{score_values('sc', CATEGORY_SCORES)},
 b4s AS (
   SELECT b4.*, {score_cols('sp', 'pay_time', W['pay_time'], 'b4.pay_time_slot')},
     {score_cols('sa', 'amount', W['amount'], 'x')},
-    {score_cols('sb', 'tname', W['tname'], 'b4.tname', scoring.BRAND_DEFAULT)},
-    {score_cols('sc', 'b1name', W['b1name'], 'b4.b1_name', scoring.CATEGORY_DEFAULT)}
+    {score_cols('sb', 'tname', W['tname'], 'b4.tname', BRAND_DEFAULT)},
+    {score_cols('sc', 'b1name', W['b1name'], 'b4.b1_name', CATEGORY_DEFAULT)}
   FROM b4 LEFT JOIN sp ON b4.pay_time_slot = sp.score_key
   LEFT JOIN sa ON ({AMOUNT_BAND}) = sa.score_key
   LEFT JOIN sb ON b4.tname = sb.score_key LEFT JOIN sc ON b4.b1_name = sc.score_key)"""
@@ -136,15 +185,15 @@ def bk(prefix: str) -> str:
     return ", ".join(f"{prefix}_{b}" for b in B)
 
 
-ORACLE["label_device_info"] = with_(EV, POS, DEV) + "SELECT * FROM dev"
-ORACLE["dedup_full_row"] = with_(EV, POS, DEV) + "SELECT DISTINCT uid, ar, ch, os, vc, search_item FROM dev"
+ORACLE["label_device_info"] = with_(EV, POS, DEV) + "SELECT * EXCLUDE (event_id) FROM dev"
+ORACLE["dedup_full_row"] = with_(EV, POS, DEV) + "SELECT DISTINCT uid, ts, ar, ch, os, vc, search_item FROM dev"
 ORACLE["label_uid_profile_agg"] = with_(EV, POS, DEV) + """SELECT uid,
   array_to_string(list_sort(list_distinct(list(os))), ',') AS os, CAST(count(*) AS BIGINT) AS n_events,
   arg_max(search_item, ts) FILTER (WHERE search_item IS NOT NULL) AS search_item, max(ts) AS ts
 FROM dev GROUP BY uid"""
 ORACLE["label_last_per_window"] = with_(EV, POS, DEV) + """SELECT
-  strftime(time_bucket(INTERVAL '1 hour', make_timestamp(ts * 1000)), '%Y-%m-%d %H:%M:%S') AS stt, *
-FROM dev QUALIFY row_number() OVER (PARTITION BY uid, time_bucket(INTERVAL '1 hour', make_timestamp(ts * 1000)) ORDER BY ts DESC) = 1"""
+  strftime(time_bucket(INTERVAL '1 hour', make_timestamp(ts * 1000)), '%Y-%m-%d %H:%M:%S') AS stt, * EXCLUDE (event_id)
+FROM dev QUALIFY row_number() OVER (PARTITION BY uid, time_bucket(INTERVAL '1 hour', make_timestamp(ts * 1000)) ORDER BY ts DESC, event_id DESC) = 1"""
 
 ORACLE["score_device"] = with_(*LABEL_BASE) + f"SELECT uid, ts, os, judge_os, {bk('device')} FROM b2s"
 ORACLE["score_search"] = with_(*LABEL_BASE) + f"SELECT uid, ts, search_item, b1_category, search_category, {bk('search')} FROM b2s"
@@ -216,23 +265,19 @@ CF = """cf AS (
   FROM cm)"""
 
 ORACLE["comment_flatten"] = with_(COMMENT, CF) + """SELECT ts_ms, db, "table", appraise, op, nick_name, create_time,
-  user_id, sku_id, id, spu_id, order_id, CAST(length(comment_txt) AS BIGINT) AS txt_len FROM cf"""
+  user_id, sku_id, id, spu_id, order_id, md5(comment_txt) AS txt_md5 FROM cf"""
 
 ORACLE["ijoin_comment_order"] = with_(COMMENT, CF, OI) + """SELECT c.id, c.order_id, c.ts_ms, oi.id AS info_id,
   oi.user_id AS info_user_id, oi.total_amount AS info_total_amount, 'r' AS info_op, CAST(oi.ts_ms AS VARCHAR) AS info_tm_ms
 FROM cf c JOIN oi ON c.order_id = CAST(oi.id AS BIGINT) AND oi.ts_ms BETWEEN c.ts_ms - 60000 AND c.ts_ms + 60000"""
 
-WORDS_SQL = "[" + ", ".join(f"'{w}'" for w in SENSITIVE_WORDS) + "]"
+WORDS_SQL = "['die', 'que', 'und', 'les', 'was']"
 
 ORACLE["comment_sensitive_flag"] = with_(COMMENT, CF) + rf"""SELECT id, user_id, hits, CAST(hits > 0 AS BIGINT) AS flagged FROM (
   SELECT id, user_id, CAST(len(list_filter(regexp_split_to_array(lower(comment_txt), '[^\p{{L}}\p{{N}}]+'),
                                            lambda t: list_contains({WORDS_SQL}, t))) AS BIGINT) AS hits
   FROM cf)"""
 
-ORACLE["comment_sample_append"] = with_(COMMENT, CF) + f"""SELECT id,
-  CASE WHEN id % 5 = 0 THEN {WORDS_SQL}[CAST((id // 5) % {len(SENSITIVE_WORDS)} AS INTEGER) + 1] END AS appended,
-  CAST(length(comment_txt) + CASE WHEN id % 5 = 0
-    THEN 1 + length({WORDS_SQL}[CAST((id // 5) % {len(SENSITIVE_WORDS)} AS INTEGER) + 1]) ELSE 0 END AS BIGINT) AS txt_len
-FROM cf"""
+ORACLE["comment_sample"] = with_(COMMENT, CF) + "SELECT id, user_id, ts_ms, md5(comment_txt) AS txt_md5 FROM cf WHERE id % 5 = 0"
 
 ORACLE["comment_ds"] = with_(COMMENT, CF) + "SELECT id, ts_ms, strftime(make_timestamp(ts_ms * 1000), '%Y%m%d') AS ds FROM cf"

@@ -192,10 +192,10 @@ ORACLE["route_dynamic_sink"] = with_(CHANGES, DWD_ROUTE) + """SELECT sink_table
 FROM dw"""
 
 ORACLE["dwd_comment_info"] = with_(COMMENT) + """SELECT id, user_id, sku_id, appraise, create_time,
-  CAST(length(comment_txt) AS BIGINT) AS txt_len, ts_ms FROM cm"""
+  md5(comment_txt) AS txt_md5, ts_ms FROM cm"""
 
 ORACLE["dwd_comment_join"] = with_(COMMENT, DIC) + """SELECT id, user_id, sku_id, appraise, dic_name AS appraise_name,
-  CAST(length(comment_txt) AS BIGINT) AS txt_len, ts_ms FROM cm JOIN dic ON appraise = dic_code"""
+  md5(comment_txt) AS txt_md5, ts_ms FROM cm JOIN dic ON appraise = dic_code"""
 
 ORACLE["dwd_trade_cart_add"] = with_(EV, CART) + "SELECT id, user_id, sku_id, sku_num, ts_ms FROM cart"
 

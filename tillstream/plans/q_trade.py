@@ -175,14 +175,14 @@ def route_dynamic_sink(spark, sf_dir):
 def dwd_comment_info(spark, sf_dir):
     """P-6."""
     c = facts.comment_info(_topic(spark, sf_dir, "comment_info"))
-    return c.select("id", "user_id", "sku_id", "appraise", "create_time", F.length("comment_txt").cast("bigint").alias("txt_len"), "ts_ms")
+    return c.select("id", "user_id", "sku_id", "appraise", "create_time", F.md5("comment_txt").alias("txt_md5"), "ts_ms")
 
 
 @query("dwd_comment_join")
 def dwd_comment_join(spark, sf_dir):
     """J-1."""
     j = facts.comment_with_dic(_topic(spark, sf_dir, "comment_info"), dims.base_dic(spark))
-    return j.select("id", "user_id", "sku_id", "appraise", "appraise_name", F.length("comment_txt").cast("bigint").alias("txt_len"), "ts_ms")
+    return j.select("id", "user_id", "sku_id", "appraise", "appraise_name", F.md5("comment_txt").alias("txt_md5"), "ts_ms")
 
 
 @query("dwd_trade_cart_add")
@@ -298,7 +298,6 @@ def dws_trade_sku_order(spark, sf_dir):
         "sku_id",
         "ts_ms",
         *[F.col(c).cast("decimal(18,4)").alias(c) for c in ("split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount")],
-        F.col("split_original_amount").cast("decimal(18,4)").alias("order_price"),
     )
     agg = windows.sku_order(d, DAY)
     named = enrich.sku_lookup_chain(spark, sf_dir, agg)

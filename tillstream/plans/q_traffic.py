@@ -23,8 +23,28 @@ def _page_topic(spark, sf_dir):
 
 @query("src_event_text")
 def src_event_text(spark, sf_dir):
-    """O-1: value-only text source (batch form of the topic)."""
-    return log_text(spark, sf_dir)
+    """O-1: value-only text source (batch form of the topic), with the fields of each line."""
+    v = F.col("value")
+    dirty = v.startswith("{bad ")
+
+    def field(path: str, kind: str = "string"):
+        return F.get_json_object(v, f"$.{path}").try_cast(kind)
+
+    return log_text(spark, sf_dir).select(
+        dirty.alias("dirty"),
+        F.when(dirty, F.substring_index(v, " ", -1).try_cast("bigint")).otherwise(field("event_id", "bigint")).alias("event_id"),
+        field("common.mid").alias("mid"),
+        field("common.uid").alias("uid"),
+        field("common.vc").alias("vc"),
+        field("page.page_id").alias("page_id"),
+        field("page.last_page_id").alias("last_page_id"),
+        field("page.item").alias("item"),
+        field("page.during_time", "bigint").alias("during_time"),
+        field("ts", "bigint").alias("ts"),
+        F.when(~dirty, F.size(F.from_json(field("displays"), "array<struct<item:string>>"))).cast("bigint").alias("n_displays"),
+        F.when(~dirty, field("err").isNotNull()).alias("has_err"),
+        F.when(~dirty, field("start").isNotNull()).alias("has_start"),
+    )
 
 
 @query("parse_dirty_split")

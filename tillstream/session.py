@@ -37,11 +37,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and streaming checkpoints.
 
     Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset (local tests) is a scratch folder created.
+    unset and everything runs in one local process (tests) is a scratch folder created.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
+    if not d and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="tillstream-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)

@@ -113,6 +113,52 @@ def category1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return letters.select(F.concat(F.lit("c1-"), F.col("l")).alias("id"), name.otherwise(F.col("l")).alias("name"))
 
 
+def _parents(c3) -> dict:
+    """The category columns that follow from a category-3 id (``p_type``)."""
+    letter = F.substring(c3, 1, 1)
+    return {
+        "category2_id": F.concat(F.lit("c2-"), letter),
+        "category1_id": F.concat(F.lit("c1-"), letter),
+        "category1_name": _map_or_self(letter, CATEGORY1_BY_LETTER),
+    }
+
+
+def category_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per category3 with its chain of parents, from one scan: (id, b3name, b2name, b1name)."""
+    t = table(spark, sf_dir, "part").select(F.col("p_type").alias("id")).where("id is not null").distinct()
+    up = _parents(F.col("id"))
+    return t.select("id", F.col("id").alias("b3name"), up["category2_id"].alias("b2name"), up["category1_name"].alias("b1name"))
+
+
+def sku_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per sku with its spu, trademark and categories, from one scan.
+
+    A sku and its spu are rows of the same table (the spu is the row of the sku's id rounded down to a multiple
+    of 4), so the rows of one spu, four at most, are grouped and the spu's columns copied to each sku.
+    Without an spu row the columns after ``spu_id`` are null.
+    """
+    key = F.col("p_partkey")
+    spu = (key - key % 4).alias("spu")
+    is_spu = key % 4 == 0
+    grouped = table(spark, sf_dir, "part").groupBy(spu).agg(
+        F.collect_list(F.struct(key.cast("string").alias("id"), F.col("p_name").alias("sku_name"))).alias("skus"),
+        *[F.max(F.when(is_spu, F.col(c))).alias(c) for c in ("p_name", "p_brand", "p_type")],
+    )
+    each = grouped.select(F.explode("skus").alias("s"), "spu", "p_name", "p_brand", "p_type")
+    return each.select(
+        "s.id",
+        "s.sku_name",
+        F.col("spu").cast("string").alias("spu_id"),
+        F.col("p_name").alias("spu_name"),
+        F.col("p_brand").alias("trademark_id"),
+        _map_or_self(F.col("p_brand"), TRADEMARK_NAMES).alias("trademark_name"),
+        F.col("p_type").alias("category3_id"),
+        F.col("p_type").alias("category3_name"),
+        *[c.alias(n) for n, c in _parents(F.col("p_type")).items()],
+        _parents(F.col("p_type"))["category2_id"].alias("category2_name"),
+    )
+
+
 def category3_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(pos, name): category-3 names in sorted order, 0-based. The distinct set is tiny
     (one row per product type), so the global ordering runs on a handful of rows."""

@@ -20,13 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import epoch_ms, table
+from .tables import epoch_ms, small, table
 
 # Fixture values (FIXTURES.md "page log"): event type -> page id, k%4 -> previous page.
 PAGE_OF_EVENT = {"view": "home", "click": "good_detail", "signup": "login", "purchase": "payment", "error": "mine"}
 LAST_PAGE_BY_K4 = {1: "login", 2: "search", 3: "home"}
-# Label search items cycle through the six category-3 names (k % 6).
-SEARCH_POSITIONS = 6
 
 COMMON_T = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("ar", "ch", "is_new", "mid", "os", "sid", "uid", "vc")]
@@ -66,6 +64,7 @@ LOG_T = T.StructType(
         T.StructField("err", ERR_T),
         T.StructField("start", START_T),
         T.StructField("ts", T.LongType()),
+        T.StructField("event_id", T.LongType()),
     ]
 )
 
@@ -153,6 +152,7 @@ def _log_columns(ev: DataFrame, keyword_item=None) -> list:
         err.alias("err"),
         start.alias("start"),
         F.col("ts"),
+        F.col("event_id"),
     ]
 
 
@@ -164,13 +164,13 @@ def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def label_page_log(spark: SparkSession, sf_dir: str, positions: DataFrame | None = None) -> DataFrame:
     """Typed log as the label pipeline sees it: a keyword search item is a category-3 name,
-    the one at position ``k % 6`` of the sorted names (FIXTURES.md, search item for M-2).
+    the one at position ``k % n`` of the ``n`` sorted names (FIXTURES.md, search item for M-2).
     ``positions`` lets a stream twin pass the (static) category positions."""
     from .dims import category3_positions
 
     ev = events_keyed(spark, sf_dir)
-    pos = positions if positions is not None else category3_positions(spark, sf_dir)
-    ev = ev.join(pos, (ev["k"] % SEARCH_POSITIONS) == pos["pos"], "left")
+    pos = small(positions if positions is not None else category3_positions(spark, sf_dir))
+    ev = ev.join(pos, F.pmod(ev["k"], F.lit(max(pos.count(), 1))) == pos["pos"], "left")
     return ev.select(*_log_columns(ev, F.col("name")))
 
 

@@ -15,22 +15,12 @@ TABLES = (
 ).split()
 
 
-MIN_SPLITS_CONF = "tillstream.scan.minSplits"
 # When "true", table() returns file streams; set by tillstream.streaming.twins.as_stream().
 STREAM_CONF = "tillstream.source.stream"
-_splits: dict[str, int] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan of a driver table.
-
-    A file written as a single row group is one scan task however large it is.
-    When a scan yields fewer splits than the cluster has cores (``tillstream.scan.minSplits``,
-    default ``defaultParallelism``), the rows are spread round-robin so the per-row work that
-    follows (JSON, decimals, regex) uses every core. Column pruning and filters still reach the
-    scan (Catalyst pushes them below the exchange). On a cluster reading thousands of
-    row groups the guard never fires.
-    """
+    """Lazy parquet scan of a driver table; the scan's splits are Spark's own (``spark.sql.files.*``)."""
     if name not in TABLES:
         raise KeyError(name)
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
@@ -38,18 +28,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         # stream twins: the same table replayed as a file stream (glob keeps it to this file)
         schema = spark.read.parquet(path).schema
         return spark.readStream.schema(schema).option("basePath", sf_dir.rstrip("/")).parquet(path[:-1] + "[t]")
-    df = spark.read.parquet(path)
-    try:
-        want = int(spark.conf.get(MIN_SPLITS_CONF, None) or spark.sparkContext.defaultParallelism)
-        if path not in _splits:
-            _splits[path] = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- no RDD access (e.g. Spark Connect): leave the scan as planned
-        return df
-    if _splits[path] < want:
-        # measured at sf0.1: spreading small dimension scans too is faster than leaving them
-        # single-task (downstream joins and aggregates then start 8-wide)
-        df = df.repartition(want)
-    return df
+    return spark.read.parquet(path)
+
+
+#: A lookup table of at most so many rows may be pinned and broadcast.
+SMALL_ROWS = 10_000
+
+
+def small(dim: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
+    """``dim`` pinned as a local table with a broadcast hint if it has at most ``most`` rows; else ``dim`` as it is.
+
+    At most ``most + 1`` rows are read to find out. A larger table is joined as Spark sees fit (a shuffle
+    join beyond its broadcast threshold), with the same rows.
+    """
+    if dim.isStreaming:
+        return dim
+    rows = dim.take(most + 1)
+    return F.broadcast(dim.sparkSession.createDataFrame(rows, dim.schema)) if len(rows) <= most else dim
 
 
 def epoch_ms(c) -> "F.Column":
