@@ -144,7 +144,8 @@ def dedup(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
         rows = [(t, 0, []) if s is None or not isinstance(t, str) else _cut(t, s, least_run) for t, s in zip(texts, spans, strict=True)]
         return pd.DataFrame(rows, columns=["text", "n_removed", "first_ids"])
 
-    found = materialize(repeats(docs), "repeats").select(F.col("id").alias("__id"), F.col("key").alias("__key"), "spans")
+    # texts and spans meet in a shuffle at every size: the spans grow with the corpus
+    found = materialize(repeats(docs), "repeats").select(F.col("id").alias("__id"), F.col("key").alias("__key"), "spans").hint("merge")
     keyed = docs.select("doc_id", "text", text_key().alias("key"))
     joined = keyed.join(found, keyed["doc_id"].eqNullSafe(found["__id"]) & (keyed["key"] == found["__key"]), "left")
     return joined.select("doc_id", cut("text", "spans").alias("c")).select("doc_id", "c.text", "c.n_removed", "c.first_ids")
