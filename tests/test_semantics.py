@@ -162,18 +162,6 @@ def test_partitioned_writers(spark, tmp_path):
     assert [r.ds for r in spark.read.parquet(str(tmp_path / "ds")).collect()] == [20240101]
 
 
-def test_change_log_sink_is_idempotent_per_batch(spark, tmp_path):
-    from tillstream.streaming.sinks import UpsertSink
-
-    sink = UpsertSink(str(tmp_path / "u"), "id", ["seq"])
-    b0 = spark.createDataFrame([("a", 1, "r", "x")], "id string, seq int, op string, v string")
-    b1 = spark.createDataFrame([("a", 2, "u", "y"), ("b", 2, "r", "z")], "id string, seq int, op string, v string")
-    sink(b0, 0)
-    sink(b1, 1)
-    sink(b1, 1)  # a retried batch replaces its own folder
-    assert sorted((r.id, r.v) for r in sink.state(spark).collect()) == [("a", "y"), ("b", "z")]
-
-
 def test_chunked_running_max_equals_plain_on_a_hot_key(spark):
     import random
 

@@ -102,15 +102,19 @@ def columnwise_merge(changes: DataFrame, key: str, order: list[str]) -> DataFram
     one row per column and task; of what is left (at most the column count per key) the cells after the
     key's last delete fold into one map.
     """
-    pos = [F.col(c) for c in order]
+    last = last_cells(changes, key, order).withColumn("_pos", F.struct(*[F.col(c) for c in order]))
+    gone = F.max(F.when(F.col("col").isNull(), F.col("_pos"))).over(Window.partitionBy(key))
+    alive = last.withColumn("_gone", gone).where("col is not null and (_gone is null or _pos > _gone)")
+    return alive.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("col", "val"))).alias("cells"))
+
+
+def last_cells(changes: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """(key, order..., col, val): the last non-empty value of each cell, and each key's last delete as ``col`` null."""
     cells = F.when(F.col("op") == "d", F.array(F.struct(F.lit(None).cast("string").alias("col"), F.lit("d").alias("val")))).otherwise(
         F.transform(F.map_entries("after"), lambda e: F.struct(e["key"].alias("col"), e["value"].alias("val")))
     )
     each = changes.select(key, *order, F.explode(cells).alias("_c")).select(key, *order, "_c.col", "_c.val").where("val is not null and val <> ''")
-    last = last_per_group(each, [key, "col"], pos).withColumn("_pos", F.struct(*pos))
-    gone = F.max(F.when(F.col("col").isNull(), F.col("_pos"))).over(Window.partitionBy(key))
-    alive = last.withColumn("_gone", gone).where("col is not null and (_gone is null or _pos > _gone)")
-    return alive.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("col", "val"))).alias("cells"))
+    return last_per_group(each, [key, "col"], order)
 
 
 # ---- O-12 / O-13 / O-13a / O-13b / O-14 ---------------------------------------------------------

@@ -15,19 +15,11 @@ TABLES = (
 ).split()
 
 
-# When "true", table() returns file streams; set by tillstream.streaming.twins.as_stream().
-STREAM_CONF = "tillstream.source.stream"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan of a driver table; the scan's splits are Spark's own (``spark.sql.files.*``)."""
     if name not in TABLES:
         raise KeyError(name)
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if spark.conf.get(STREAM_CONF, "false") == "true":
-        # stream twins: the same table replayed as a file stream (glob keeps it to this file)
-        schema = spark.read.parquet(path).schema
-        return spark.readStream.schema(schema).option("basePath", sf_dir.rstrip("/")).parquet(path[:-1] + "[t]")
     return spark.read.parquet(path)
 
 

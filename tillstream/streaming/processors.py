@@ -1,16 +1,18 @@
-"""Keyed stateful processors for ``transformWithStateInPandas`` (D-1, D-2, D-3, D-7, D-9).
-
-Each processor keeps the same per-key state as the reference's keyed
-function and emits the same rows as the batch form in
-:mod:`tillstream.operators.state`. Rows of one key inside a micro-batch are
-sorted by the arrival order columns first; state carries across batches
-(RocksDB state store, checkpointed). Optional TTLs mirror the reference's
-state TTL in processing time.
+"""Keyed stateful processors for ``transformWithStateInPandas`` (D-1, D-2, D-3, D-4, D-6, D-7, D-9).
+
+Each processor keeps the same per-key state as the reference's keyed function and emits the same rows as
+the batch form in :mod:`tillstream.operators.state`; state carries across micro-batches (RocksDB state
+store, checkpointed). A key's rows arrive in Arrow frames. Processors that keep one row per day reduce
+each frame before they put frames together; those keyed by a fact's primary key see its few versions.
+Only the is_new correction and the per-record measures hold a key's rows of one micro-batch, whose size
+the source's ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger`` bounds. Optional TTLs mirror the
+reference's state TTL in processing time. Nulls stay nulls in state and output.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import types as T
@@ -23,169 +25,201 @@ def _utc_date(ms: pd.Series) -> pd.Series:
     return pd.to_datetime(ms, unit="ms", utc=True).dt.strftime("%Y-%m-%d")
 
 
-def _sorted(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
-    frames = [f for f in rows if len(f)]
+def _sorted(rows: Iterator[pd.DataFrame], order: list[str], day: str | None = None) -> pd.DataFrame:
+    """A key's rows in arrival order. With ``day`` (a time column) only the first row of each date, and a
+    ``_day`` column; every frame is reduced before the frames meet."""
+    frames = []
+    for f in rows:
+        if not len(f):
+            continue
+        if day:
+            f = f.sort_values(order, kind="mergesort").assign(_day=lambda x: _utc_date(x[day])).drop_duplicates("_day")
+        frames.append(f)
     if not frames:
         return pd.DataFrame()
-    return pd.concat(frames, ignore_index=True).sort_values(order, kind="mergesort").reset_index(drop=True)
+    out = pd.concat(frames, ignore_index=True).sort_values(order, kind="mergesort").reset_index(drop=True)
+    return out.drop_duplicates("_day").reset_index(drop=True) if day else out
 
 
-class DailyFirst(StatefulProcessor):
-    """D-2 / D-5 / D-6 uv: emit a record when its date differs from the key's last emitted date."""
+def _plain(v):
+    """A Python value without pandas' missing markers."""
+    return None if v is None or v is pd.NA or (isinstance(v, float) and v != v) else v
+
+
+class _Keyed(StatefulProcessor):
+    """One value per key, typed by ``state_type``."""
+
+    state_type: T.DataType = T.StringType()
+    ttl_ms: int | None = None
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("value", T.StructType([T.StructField("v", self.state_type)]), self.ttl_ms)
+
+    def read(self):
+        return self.state.get()[0] if self.state.exists() else None
+
+    def close(self) -> None:
+        pass
+
+
+class DailyFirst(_Keyed):
+    """D-2 / D-5: emit a record when its date differs from the key's last emitted date."""
 
     def __init__(self, ts: str, order: list[str], out_cols: list[str], ttl_ms: int | None = None):
         self.ts, self.order, self.out_cols, self.ttl_ms = ts, order, out_cols, ttl_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField("d", T.StringType())])
-        self.last = handle.getValueState("last_date", schema, self.ttl_ms)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        firsts = _sorted(rows, self.order, self.ts)
+        if firsts.empty:
+            return
+        fresh = firsts[firsts["_day"] != self.read()]
+        self.state.update((firsts["_day"].iloc[-1],))
+        yield fresh[self.out_cols]
+
+
+class DailyFlag(_Keyed):
+    """D-6: every record, with ``flag`` = 1 on the key's first record of a date (never for a null key)."""
+
+    def __init__(self, ts: str, order: list[str], out_cols: list[str], flag: str = "uv_ct"):
+        self.ts, self.order, self.out_cols, self.flag = ts, order, out_cols, flag
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, self.order)
         if pdf.empty:
             return
-        last = self.last.get()[0] if self.last.exists() else None
         days = _utc_date(pdf[self.ts])
-        keep = []
-        for i, d in enumerate(days):
-            if d != last:
-                keep.append(i)
-                last = d
-        self.last.update((last,))
-        yield pdf.iloc[keep][self.out_cols]
-
-    def close(self) -> None:
-        pass
+        first = ~days.duplicated() & (days != self.read()) & (key[0] is not None)
+        self.state.update((days.iloc[-1],))
+        yield pdf[self.out_cols].assign(**{self.flag: first.astype("int64")})
 
 
-class IsNewFix(StatefulProcessor):
-    """D-1: first record sets the state (its date if new, else the day before); later records
-    claiming to be new on another date become '0'."""
+class IsNewFix(_Keyed):
+    """D-1: first record sets the state (its date if new, else the day before); later records claiming to
+    be new on another date become '0'. Without a device there is no state."""
 
-    def __init__(self, ts: str = "ts", is_new: str = "is_new", ttl_ms: int | None = None):
-        self.ts, self.is_new, self.ttl_ms = ts, is_new, ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField("d", T.StringType())])
-        self.first = handle.getValueState("first_date", schema, self.ttl_ms)
+    def __init__(self, order: list[str], ts: str = "ts", is_new: str = "is_new", ttl_ms: int | None = None):
+        self.order, self.ts, self.is_new, self.ttl_ms = order, ts, is_new, ttl_ms
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, [self.ts])
+        pdf = _sorted(rows, self.order)
         if pdf.empty:
             return
-        state = self.first.get()[0] if self.first.exists() else None
-        fixed = []
-        for ts, flag in zip(pdf[self.ts].tolist(), pdf[self.is_new].tolist()):
-            day = _utc_date(pd.Series([ts]))[0]
-            if state is None:
-                state = day if flag == "1" else _utc_date(pd.Series([ts - DAY_MS]))[0]
-                fixed.append(flag)
-            elif flag == "1" and state != day:
-                fixed.append("0")
-            else:
-                fixed.append(flag)
-        self.first.update((state,))
+        days, fixed = _utc_date(pdf[self.ts]), pdf[self.is_new]
+        if key[0] is not None:
+            first = self.read()
+            if first is None:
+                first = days.iloc[0] if fixed.iloc[0] == "1" else _utc_date(pdf[self.ts].iloc[:1] - DAY_MS).iloc[0]
+                self.state.update((first,))
+            fixed = fixed.mask((fixed == "1") & (days != first), "0")
         yield pd.DataFrame({"mid": key[0], "ts": pdf[self.ts], "is_new": pdf[self.is_new], "is_new_fixed": fixed})
 
-    def close(self) -> None:
-        pass
-
 
-class LoginBack(StatefulProcessor):
+class LoginBack(_Keyed):
     """D-7: per user, uu=1 on a new login date; back=1 when >= ``back_days`` whole days passed since
     midnight of the previous login date (one zone for both directions)."""
 
     def __init__(self, back_days: int = 8):
         self.back_days = back_days
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField("d", T.StringType())])
-        self.last = handle.getValueState("last_login", schema)
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, ["ts"])
-        if pdf.empty:
+        days = _sorted(rows, ["ts"], "ts")
+        if days.empty:
             return
-        last = self.last.get()[0] if self.last.exists() else None
-        out = []
-        for ts in pdf["ts"].tolist():
-            day = _utc_date(pd.Series([ts]))[0]
-            if day == last:
-                continue
-            back = 0
-            if last is not None:
-                midnight = int(pd.Timestamp(last, tz="UTC").value // 1_000_000)
-                back = 1 if (ts - midnight) // DAY_MS >= self.back_days else 0
-            out.append((key[0], ts, day, 1, back))
-            last = day
-        self.last.update((last,))
-        yield pd.DataFrame(out, columns=["uid", "ts", "cur_date", "uu_ct", "back_ct"])
+        last = self.read()
+        days = days[days["_day"] != last]
+        if days.empty:
+            return
+        before = days["_day"].shift(1)
+        before.iloc[0] = last
+        midnight = pd.to_datetime(before, utc=True)
+        passed = (pd.to_datetime(days["ts"], unit="ms", utc=True) - midnight).dt.days
+        self.state.update((days["_day"].iloc[-1],))
+        back = (passed >= self.back_days).astype("int64")  # no previous date: not back
+        yield pd.DataFrame({"uid": key[0], "ts": days["ts"], "cur_date": days["_day"], "uu_ct": 1, "back_ct": back})
 
-    def close(self) -> None:
-        pass
 
+class StrictlyNewer(_Keyed):
+    """D-9 / D-10: pass a record only if its value beats the key's stored maximum. Until there is a value
+    every record passes; afterwards a null value does not."""
 
-class StrictlyNewer(StatefulProcessor):
-    """D-9 / D-10: pass a record only if its value beats the key's stored maximum."""
+    state_type = T.LongType()
 
     def __init__(self, value: str, order: list[str], out_cols: list[str], ttl_ms: int | None = None):
         self.value, self.order, self.out_cols, self.ttl_ms = value, order, out_cols, ttl_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField("v", T.LongType())])
-        self.best = handle.getValueState("latest", schema, self.ttl_ms)
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, self.order)
         if pdf.empty:
             return
-        best = self.best.get()[0] if self.best.exists() else None
-        keep = []
-        for i, v in enumerate(pdf[self.value].tolist()):
-            if best is None or v > best:
-                keep.append(i)
-                best = v
-        self.best.update((int(best),))
-        yield pdf.iloc[keep][self.out_cols]
-
-    def close(self) -> None:
-        pass
+        value, best = pdf[self.value], self.read()
+        before = value.cummax().ffill().shift(1)
+        if best is not None:
+            before = before.fillna(best).clip(lower=best)
+        top = value.max()
+        if pd.notna(top) and (best is None or top > best):
+            self.state.update((int(top),))
+        yield pdf[before.isna() | (value > before)][self.out_cols]
 
 
-class RetractReplace(StatefulProcessor):
-    """D-3: on a new record re-emit the previous one with a negated amount (keeping its own ts),
-    then the new one."""
+class RetractReplace(_Keyed):
+    """D-3: on a new record re-emit the previous one with a negated amount (keeping its own ts), then the
+    new one. Columns travel as strings; a null amount stays null when it is negated."""
 
     def __init__(self, amount: str, order: list[str], out_cols: list[str], ttl_ms: int | None = None):
-        self.amount, self.order, self.out_cols, self.ttl_ms = amount, order, out_cols, ttl_ms
+        self.amount, self.order, self.out_cols, self.ttl_ms = out_cols.index(amount), order, out_cols, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         fields = [T.StructField(c, T.StringType()) for c in self.out_cols]
-        self.prev = handle.getValueState("previous", T.StructType(fields), self.ttl_ms)
+        self.state = handle.getValueState("previous", T.StructType(fields), self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, self.order)
         if pdf.empty:
             return
-        prev = list(self.prev.get()) if self.prev.exists() else None
+        prev = list(self.state.get()) if self.state.exists() else None
         out = []
-        for rec in pdf[self.out_cols].astype(str).itertuples(index=False, name=None):
-            rec = list(rec)
+        for rec in pdf[self.out_cols].itertuples(index=False, name=None):
+            rec = [None if (v := _plain(x)) is None else str(v) for x in rec]
             if prev is not None:
                 neg = list(prev)
-                i = self.out_cols.index(self.amount)
-                neg[i] = str(-_dec(prev[i]))
-                out.append(neg + ["-1"])
-            out.append(rec + ["1"])
+                neg[self.amount] = None if prev[self.amount] is None else str(-Decimal(prev[self.amount]))
+                out.append([*neg, "-1"])
+            out.append([*rec, "1"])
             prev = rec
-        self.prev.update(tuple(prev))
-        yield pd.DataFrame(out, columns=self.out_cols + ["sign"])
+        self.state.update(tuple(prev))
+        yield pd.DataFrame(out, columns=[*self.out_cols, "sign"], dtype=object)
 
-    def close(self) -> None:
-        pass
 
+class HoldLatest(StatefulProcessor):
+    """D-4: hold a key for ``hold_ms`` of processing time after its first record, then emit the latest
+    record held (later or equal ``order`` replaces) and forget the key."""
 
-def _dec(s: str):
-    from decimal import Decimal
+    def __init__(self, order: str, out: T.StructType, hold_ms: int = 5000):
+        self.order, self.out, self.hold_ms = order, out, hold_ms
 
-    return Decimal(s)
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("held", self.out)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        held, at = None, self.out.names.index(self.order)
+        if self.state.exists():
+            held = tuple(self.state.get())
+        else:
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.hold_ms)
+        for f in rows:
+            if len(f):
+                last = f.sort_values(self.order, kind="mergesort").iloc[-1]
+                row = tuple(getattr(v, "item", lambda v=v: v)() for v in (_plain(last[c]) for c in self.out.names))
+                held = row if held is None or row[at] >= held[at] else held
+        self.state.update(held)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        held = tuple(self.state.get())
+        self.state.clear()
+        yield pd.DataFrame([held], columns=self.out.names)
+
+    def close(self) -> None:
+        pass

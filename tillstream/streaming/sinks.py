@@ -1,59 +1,81 @@
-"""Streaming sinks: change-log upsert (O-7), column-wise merge (O-10),
-dynamic-topic (O-9) and analytic-table (O-11) writers, all via ``foreachBatch``.
-
-Upserts are log-structured: every micro-batch is written once under its own
-``_batch=<id>`` folder (overwrite of that folder only, so a retried batch is
-idempotent), and the current state is the batch form of the operator over the
-log (latest per key / column-wise merge). This needs no table format with
-MERGE, keeps every write append-sized at any scale, and a compaction is just
-writing the final state once more.
+"""Streaming sinks, all via ``foreachBatch``: change-log upsert (O-7), column-wise merge (O-10), dynamic
+topic (O-9), analytic table (O-11), fan-out of the log split (O-15) and the Kafka append writer (O-8).
+
+Upserts are log-structured. A micro-batch is written once under its own ``_batch=<id>`` folder (overwrite
+of that folder only, so a retried batch leaves equal state). ``compact`` folds the log into a base
+``_upto=<id>``; the current state is the batch operator over the newest base and the batches after it, so
+reads do not grow with the stream's age and no write rewrites the table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.cdc import columnwise_merge, upsert_final
+from ..operators.cdc import columnwise_merge, last_cells, upsert_final
+from ..operators.logsplit import five_way_split
+from ..operators.state import last_per_group
 
 
 class ChangeLogSink:
     """``foreachBatch`` target that appends each micro-batch as its own folder."""
 
-    def __init__(self, path: str, fmt: str = "parquet"):
-        self.path, self.fmt = path.rstrip("/"), fmt
+    def __init__(self, path: str, key: str, order: list[str], fmt: str = "parquet"):
+        self.path, self.key, self.order, self.fmt = path.rstrip("/"), key, order, fmt
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        out = f"{self.path}/_batch={batch_id}"
-        batch.write.mode("overwrite").format(self.fmt).save(out)
+        batch.write.mode("overwrite").format(self.fmt).save(f"{self.path}/delta/_batch={batch_id}")
+
+    def _base(self, spark: SparkSession) -> tuple[DataFrame | None, int]:
+        """The newest base and the last batch that it holds (-1: no base yet)."""
+        root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/base")
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        done = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+        upto = max((int(n.partition("=")[2]) for n in done if n.startswith("_upto=")), default=-1)
+        return (spark.read.format(self.fmt).load(f"{self.path}/base/_upto={upto}") if upto >= 0 else None), upto
 
     def log(self, spark: SparkSession) -> DataFrame:
-        return spark.read.format(self.fmt).load(self.path)
+        """The base and the batches after it: enough to rebuild the state."""
+        base, upto = self._base(spark)
+        delta = spark.read.format(self.fmt).load(f"{self.path}/delta").where(F.col("_batch") > upto)
+        return delta if base is None else base.unionByName(delta)
+
+    def folded(self, log: DataFrame) -> DataFrame:
+        """The changes of ``log`` that still matter."""
+        return log
+
+    def compact(self, spark: SparkSession) -> None:
+        """Write a new base of everything so far. It may be repeated; older bases and batches are left to a retention job."""
+        newest = spark.read.format(self.fmt).load(f"{self.path}/delta").agg(F.max("_batch")).first()[0]
+        self.folded(self.log(spark)).write.mode("overwrite").format(self.fmt).save(f"{self.path}/base/_upto={newest}")
 
 
 class UpsertSink(ChangeLogSink):
-    """O-7: last change per key wins; deletes (``op = 'd'``) leave a tombstone."""
+    """O-7: last change per key wins; deletes (``op = 'd'``) leave a tombstone, kept in the base."""
 
-    def __init__(self, path: str, key: str, order: list[str], fmt: str = "parquet"):
-        super().__init__(path, fmt)
-        self.key, self.order = key, order
+    def folded(self, log: DataFrame) -> DataFrame:
+        return last_per_group(log, [self.key], [*self.order, "_batch"])
 
     def state(self, spark: SparkSession) -> DataFrame:
-        log = self.log(spark)
-        return upsert_final(log, self.key, [*self.order, "_batch"]).drop("_batch")
+        return upsert_final(self.log(spark), self.key, [*self.order, "_batch"]).drop("_batch")
 
 
 class ColumnwiseSink(ChangeLogSink):
     """O-10: wide-column merge of the change log (empty values never overwrite, deletes erase)."""
 
-    def __init__(self, path: str, key: str, order: list[str], fmt: str = "parquet"):
-        super().__init__(path, fmt)
-        self.key, self.order = key, order
+    def folded(self, log: DataFrame) -> DataFrame:
+        cells = last_cells(log, self.key, [*self.order, "_batch"])
+        mark = F.col("col").isNull()
+        after = F.when(~mark, F.create_map(F.coalesce("col", F.lit("")), F.col("val")))
+        return cells.select(self.key, F.when(mark, "d").otherwise("u").alias("op"), after.alias("after"), *self.order, "_batch")
 
     def state(self, spark: SparkSession) -> DataFrame:
         return columnwise_merge(self.log(spark), self.key, [*self.order, "_batch"])
 
 
-def dynamic_topic_writer(path: str, fmt: str = "json"):
+def dynamic_topic_writer(path: str, fmt: str = "json") -> Callable[[DataFrame, int], None]:
     """O-9 as ``foreachBatch``: rows land under ``topic=<their configured sink>``; batch-id folders
     keep retries idempotent."""
 
@@ -63,6 +85,31 @@ def dynamic_topic_writer(path: str, fmt: str = "json"):
     return write
 
 
+def analytic_table_writer(path: str, table: str, fmt: str = "json") -> Callable[[DataFrame, int], None]:
+    """O-11: rows of an analytic table, loaded under a label made of the table and the batch id. A label is loaded
+    at most once: a retried batch replaces its own load."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/{table}/_label={table}-{batch_id}")
+
+    return write
+
+
+def fan_out_writer(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+    """O-15: one parsed batch of the log into five outputs. The batch is kept while it is written, so it is
+    parsed once; each output has its batch-id folder."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for name, rows in five_way_split(batch).items():
+                rows.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/{name}/_batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return write
+
+
 def kafka_writer(df: DataFrame, servers: str, topic: str | None = None, checkpoint: str | None = None):
     """O-8: append sink to a fixed topic, or per-row ``topic`` column when ``topic`` is None (O-9).
     The frame must carry ``value`` (and optionally ``key``) strings."""

@@ -2,9 +2,8 @@
 
 ``text_source`` is the reference's value-only topic reader: Kafka when the
 connector is on the classpath, otherwise any file format Spark streams
-(text / json / parquet). ``table_stream`` replays a driver table as a file
-stream with the batch table's schema, so stream twins read the same data as
-their batch forms.
+(text / json / parquet). ``replay`` turns a batch table into a file stream of
+several micro-batches, so stream twins read the same data as their batch forms.
 """
 
 from __future__ import annotations
@@ -12,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import TABLES
-
 
 def text_source(spark: SparkSession, fmt: str = "kafka", **options) -> DataFrame:
     """O-1/O-2: one ``value STRING`` column. For Kafka pass ``subscribe``/``kafka.bootstrap.servers``
@@ -31,17 +28,19 @@ def text_source(spark: SparkSession, fmt: str = "kafka", **options) -> DataFrame
     return df.filter(F.col("value").isNotNull())
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
-    """A driver table as a file stream (same schema as the batch read)."""
-    if name not in TABLES:
-        raise KeyError(name)
-    base = sf_dir.rstrip("/")
-    schema = spark.read.parquet(f"{base}/{name}.parquet").schema
-    reader = spark.readStream.schema(schema).option("basePath", base)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    # a file source needs a directory or a glob; the bracket keeps the glob to this one file
-    return reader.parquet(f"{base}/{name}.parque[t]")
+def replay(spark: SparkSession, df: DataFrame, path: str, order: str, batches: int = 4, fmt: str = "parquet") -> DataFrame:
+    """A batch table replayed as a topic: written under ``path`` in ``batches`` slices of the ``order`` column, earliest
+    first, and read as a file stream of one file per micro-batch, so state and watermarks cross batches."""
+    cuts = sorted(set(df.approxQuantile(order, [k / batches for k in range(1, batches)], 0.001)))
+    edges = [None, *cuts, None]
+    for lo, hi in zip(edges, edges[1:]):
+        part = df.where((F.col(order) > lo) if lo is not None else F.lit(True)).where((F.col(order) <= hi) if hi is not None else F.lit(True))
+        if lo is None:
+            part = part.union(df.where(F.col(order).isNull()))
+        files = max(1, df.rdd.getNumPartitions() // batches)
+        part.coalesce(files).write.mode("append").format(fmt).save(path)
+    reader = spark.readStream.format(fmt).option("maxFilesPerTrigger", 1)
+    return (reader if fmt == "text" else reader.schema(df.schema)).load(path)
 
 
 def event_time(ms_col: str = "ts", out: str = "event_time"):
