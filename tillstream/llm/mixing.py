@@ -47,6 +47,7 @@ def cumulative(rate: float) -> list[float]:
     k = np.arange(width + 1)
     log_p = k * np.log(rate) - rate - np.concatenate([[0.0], np.cumsum(np.log(k[1:]))])
     total = np.cumsum(np.exp(log_p))
+    total /= total[-1]  # rounding must not leave a draw above the last entry
     return [*total[: int(np.searchsorted(total, 1 - TAIL)) + 1].tolist()]
 
 
@@ -54,7 +55,10 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, other: float
     """``(source, n, weight, rate, cdf)``, one row per source."""
     counts = materialize(docs.groupBy("source").agg(F.count("*").alias("n")), "sources")
     usual = F.pow(F.col("n").cast("double"), F.lit(temperature)) if other is None else F.lit(float(other))
-    weight = F.coalesce(F.get(F.map_values(F.map_filter(F.create_map(*[F.lit(x) for kv in weights.items() for x in (kv[0], float(kv[1]))]), lambda k, _: k == F.col("source"))), F.lit(0)), usual) if weights else usual
+    weight = usual
+    if weights:
+        given = F.create_map(*[F.lit(x) for name, w in weights.items() for x in (name, float(w))])
+        weight = F.coalesce(F.try_element_at(given, F.col("source")), usual)
     counts = counts.withColumn("weight", weight)
     whole = counts.agg(F.sum("n").alias("all_rows"), F.sum("weight").alias("all_weight")).first()
     scale = (whole["all_rows"] or 0) / whole["all_weight"] if whole["all_weight"] else 0.0

@@ -80,11 +80,12 @@ def lay_out(texts: list[bytes]) -> Iterator[Batch]:
     for d, text in enumerate(texts):
         raw = np.frombuffer(text, "u1")
         for lo in range(0, len(raw), SLICE):
-            piece = raw[lo : lo + SLICE + 2 * HALF]
+            before = min(lo, HALF)  # what the repeat flags look back on
+            piece = raw[lo - before : lo + SLICE + 2 * HALF]
             n = -(-len(piece) // HALF)
             data += [piece, np.full((n + 1) * HALF - len(piece), PAD, "u1")]
-            first.append(at)
-            halves.append(min(n, SLICE // HALF))
+            first.append(at + before // HALF)
+            halves.append(min(n - before // HALF, SLICE // HALF))
             doc.append(d)
             at += n + 1
             if at * HALF >= SLICE:
