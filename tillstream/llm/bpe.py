@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SHORT = 64
-CACHE = 400_000
-WORDS = 100_000
+CACHE = 200_000
+WORDS = 50_000
 #: Characters of a text, or ids, that are handled at a time.
 PIECE = 1 << 18
 NONE = np.int32(2**31 - 1)

@@ -11,7 +11,7 @@ from ..session import checkpoint_dir, prepare
 
 
 #: Largest Arrow batch handed to a Python worker: texts and packed blocks make long rows.
-ARROW_BATCH = "16m"
+ARROW_BATCH = "4m"
 
 
 def session(spark: SparkSession) -> SparkSession:

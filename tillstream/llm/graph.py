@@ -60,7 +60,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Only nodes with an edge to another node are returned; loops and repeated edges are allowed.
     """
-    left = materialize(edges.where("a <> b").mapInPandas(_local_forest, EDGE), "edges")
+    left = materialize(edges.where("a <> b").select("a", "b"), "edges")
     maps: list[DataFrame] = []
     while left.take(1):
         turn = len(maps)
