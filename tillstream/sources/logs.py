@@ -175,8 +175,11 @@ def label_page_log(spark: SparkSession, sf_dir: str, positions: DataFrame | None
 
 
 def log_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw JSON log topic: ``value STRING``; nulls are omitted by ``to_json``."""
-    ev = events_keyed(spark, sf_dir)
+    """Raw JSON log topic: ``value STRING``; nulls are omitted by ``to_json``.
+
+    A topic is dealt to partitions when it is written; the hint leaves their number to AQE, so writing and parsing
+    the lines run in parallel however few row groups the events file has."""
+    ev = events_keyed(spark, sf_dir).hint("rebalance")
     line = F.to_json(F.struct(*_log_columns(ev)))
     dirty = F.when(F.col("k") % 17 == 0, F.concat(F.lit("{bad "), F.col("event_id").cast("string")))
     return ev.select(F.explode(F.filter(F.array(line, dirty), lambda x: x.isNotNull())).alias("value"))
