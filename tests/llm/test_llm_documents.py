@@ -199,6 +199,20 @@ def test_lines_every_repeated_run_of_guaranteed_length_goes(sc):
     assert all(not any(line in r["text"] for line in run) for r in out[1:])
 
 
+def test_lines_one_copy_of_every_long_line_stays(sc):
+    rng = random.Random(4)
+    new = lambda: f"x {rng.random()}"
+    lone, many = "this line stands alone in its text", " ".join(f"word{i}" for i in range(51))
+    texts = [f"{new()}\n{lone}\n{new()}", f"{new()}\n{many}", lone, f"{new()}\n{lone}\n{new()}\n{many}\n{new()}", f"{many}\n{new()}", lone]
+    out = [r["text"] for r in line_dedup.stage(frame(sc, texts)).orderBy("doc_id").collect()]
+    assert out[:2] == texts[:2] and out[2] == out[5] == "" and not any(x in t for t in out[2:] for x in (lone, many))
+
+    docs = sc.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lines = lambda rows: Counter(x for r in rows if r["text"] is not None for x in r["text"].split("\n") if len(x.split()) > 5)
+    before, after = lines(docs.collect()), lines(line_dedup.stage(docs).collect())
+    assert max(before.values()) > 100 and set(after) == set(before) and set(after.values()) == {1}
+
+
 def test_lines_odd_rows(sc):
     docs = frame(sc, ODD).withColumn("gram", F.lit(1)).withColumn("runs", F.lit("x"))
     docs = docs.union(docs.where("doc_id = 9")).union(docs.where("doc_id = 9").withColumn("doc_id", F.lit(None).cast("long")))

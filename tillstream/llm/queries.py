@@ -70,9 +70,9 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with the later repeats of runs of lines deleted."""
+    """Every document with the later repeats of runs of lines deleted, by the selection that its SQL states."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
-    out = line_dedup.dedup_lines(docs)
+    out = line_dedup.dedup_lines(docs, whole=False)
     return out.select("doc_id", "text", "n_lines", line_dedup.removed(F.col("__runs")).alias("n_removed"))
 
 
