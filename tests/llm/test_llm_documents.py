@@ -213,6 +213,19 @@ def test_lines_one_copy_of_every_long_line_stays(sc):
     assert max(before.values()) > 100 and set(after) == set(before) and set(after.values()) == {1}
 
 
+def test_lines_repeated_runs_go_whatever_the_first_place_of_their_gram(sc):
+    rng = random.Random(9)
+    texts = []
+    for k in range(40):  # the pair a, b stands elsewhere first, once before and once after another line
+        a, b, p = (f"{x}{k} {rng.random()}" for x in "abp")
+        new = lambda: f"x {rng.random()}"
+        texts += ["\n".join([new(), a, b, new()]), "\n".join([new(), b, p, new()])]
+        texts += ["\n".join([new(), a, b, p, new()]) for _ in range(3)]
+    out = [r["text"].split("\n") for r in line_dedup.stage(frame(sc, texts)).orderBy("doc_id").collect()]
+    assert all(len(out[5 * k + i]) == 2 for k in range(40) for i in (3, 4))
+    assert all(len(out[5 * k + i]) == 4 for k in range(40) for i in (0, 1))
+
+
 def test_lines_odd_rows(sc):
     docs = frame(sc, ODD).withColumn("gram", F.lit(1)).withColumn("runs", F.lit("x"))
     docs = docs.union(docs.where("doc_id = 9")).union(docs.where("doc_id = 9").withColumn("doc_id", F.lit(None).cast("long")))
