@@ -177,6 +177,19 @@ def test_substring_dedup_equals_brute_force(sc):
     assert {r["doc_id"]: r["text"] for r in QUERIES["op4_substring_dedup"](sc, SF).collect()} == want
 
 
+def test_two_copies_of_51_words_seldom_stay_whole():
+    rng, whole = random.Random(12), 0
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    for _ in range(1000):
+        passage = prose(51)
+        first, second = (f"{prose(rng.randint(20, 90))} {passage} {prose(rng.randint(20, 90))}".encode() for _ in range(2))
+        known = {first[a:b] for a, b in plain_chunks(first)}
+        spans = [(a, b) for a, b in plain_chunks(second) if second[a:b] in known]
+        whole += not chunk_dedup.long_runs(spans, chunk_dedup.LEAST_RUN)
+    assert whole < 70, whole
+
+
 # ---- 5 lines
 
 

@@ -29,7 +29,7 @@ from .common import materialize, text_key
 LEAST, MOST = 40, 512
 REACH = 16
 BITS = 5
-LEAST_RUN = 128
+LEAST_RUN = 64
 SLICE = 1 << 22
 #: One random 32-bit number for each byte value.
 GEAR = np.random.default_rng(97).integers(0, 1 << 32, 256, dtype="u4")
