@@ -58,6 +58,21 @@ def test_embedding_links_equal_brute_force(sc, block, monkeypatch):
     assert embed_dedup.near_duplicates(sc.createDataFrame([], VECTORS)).count() == 0
 
 
+def test_embedding_rows_without_an_id_and_with_a_repeated_one(sc):
+    rng = np.random.default_rng(6)
+    a, b, c, d, e = (rng.normal(size=16) for _ in range(5))
+    near = lambda v: (v + rng.normal(size=16) * 0.02).tolist()
+    # a pair with one id missing, a pair without ids, and one id for three vectors, of which two have neighbours
+    ids = [None, 5, None, None, 9, 9, 9, 3, 20, 21]
+    rows = list(zip(ids, map(near, [a, a, b, b, c, d, e, c, d, d]), [0, 0, 0, 0, 1, 2, 1, 1, 2, 2]))
+    want_n, _ = plain_links(rows, 0.98)
+    names = [5, 5, None, None, 3, 9, 9, 3, 9, 9]
+    want = [(i, want_n[k], name, i == name) for k, (i, name) in enumerate(zip(ids, names))]
+    assert [want_n[k] for k in range(10)] == [1, 1, 1, 1, 1, 2, 0, 1, 2, 2]
+    out = embed_dedup.near_duplicates(sc.createDataFrame(rows, VECTORS)).collect()
+    assert sorted(map(str, (tuple(r) for r in out))) == sorted(map(str, want))
+
+
 def test_embedding_recall_near_the_threshold(sc):
     rng = np.random.default_rng(8)
     v = embed_dedup.unit(rng.normal(size=(300, 64)))

@@ -141,14 +141,17 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     fit = usable("embedding") & F.col("label").isNotNull() & some
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
     rows = materialize(rows.withColumn("fit", F.coalesce(fit, F.lit(False))), "vectors")
-    classes = rows.where("fit").groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
-    classes = materialize(classes, "classes")
-    named = classes.where("rep is not null").select("label", F.size("embedding").alias("dim"), "rep", "n", "embedding")
-    found = materialize(links(named, cosine), "links")
+    classes = rows.where("fit").groupBy("label", "embedding").agg(F.min("vec_id").alias("smallest"), F.count("*").alias("n"))
+    # a class is keyed by a number of its own, fixed by the write: ids may be missing or stand for several vectors
+    classes = materialize(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    found = materialize(links(classes.select("label", F.size("embedding").alias("dim"), "rep", "n", "embedding"), cosine), "links")
     counts = found.where("n > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("more"))
-    roots = materialize(components(found.where("n = 0").select("a", "b")), "components")
-    named = classes.join(counts, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    named = materialize(named.select("label", "embedding", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), F.coalesce("root", "rep").alias("component_id")), "named")
+    roots = components(found.where("n = 0").select("a", "b")).withColumnRenamed("node", "rep")
+    members = materialize(classes.select("rep", "smallest").join(roots, "rep"), "components")
+    least = materialize(members.groupBy("root").agg(F.min("smallest").alias("least")), "least")
+    names = members.join(least, "root").select("rep", "least")
+    named = classes.join(counts, "rep", "left").join(names, "rep", "left")
+    named = materialize(named.select("label", "embedding", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), F.coalesce("least", "smallest").alias("component_id")), "named")
     linked = rows.where("fit").join(named, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
     alone = rows.where("not fit").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
