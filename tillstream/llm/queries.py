@@ -11,11 +11,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chunk_dedup, embed_dedup, line_dedup, mixing, quality, secret_scan, sharding, simhash, topk
+from . import bpe, chunk_dedup, embed_dedup, line_dedup, mixing, pieces, quality, secret_scan, sharding, simhash, spelling, topk, turns
 from .common import read, session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -122,6 +123,32 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the corpus with its near words counted, its more frequent form and its root."""
+    return spelling.variants(spelling.words(read(spark, sf_dir, "documents")))
+
+
+@query
+def op12_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, their source spans and what they decode to, as digests."""
+    made = pieces.encode_and_decode(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+    joined = lambda c: F.array_join(F.col(c).cast("array<string>"), " ")
+    return made.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(joined("ids").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.concat(joined("begins"), F.lit(";"), joined("ends")).cast("binary"), 256).alias("spans_sha256"),
+    )
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults after damage, and its cheapest repair."""
+    return turns.repair(read(spark, sf_dir, "conversations"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline`` over ``documents``."""
