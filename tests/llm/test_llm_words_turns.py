@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 from functools import lru_cache
@@ -216,6 +217,7 @@ def cheapest(rows, faults):
                         way(cost + 5 * (faults[i] == "truncated"), letter, (new, text), i + 1, new[0], 0)
         return min(ways, key=lambda w: w[:2]) if ways else None
 
+    sys.setrecursionlimit(20000)
     return go(0, "", 0)
 
 
