@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from tillstream.operators import windows
 from tillstream.plans import QUERIES
 from tillstream.sources.logs import log_text
 from tillstream.streaming import processors, sinks, sources, twins
@@ -35,14 +36,32 @@ def test_text_topic_twin(spark):
     _same(twins.event_text(spark, SF_SMALL), log_text(spark, SF_SMALL))
 
 
-def test_replay_keeps_order_over_batches(spark, tmp_path):
-    df = spark.range(1000).withColumn("t", (F.col("id") * 7919) % 1000)
+@pytest.mark.parametrize("parts", [1, 8, 16])
+def test_replay_keeps_order_over_batches(spark, tmp_path, parts):
+    df = spark.range(1000).withColumn("t", F.when(F.col("id") != 7, (F.col("id") * 7919) % 1000)).repartition(parts)
     seen = []
     stream = sources.replay(spark, df, str(tmp_path / "in"), "t", 4)
     q = stream.writeStream.foreachBatch(lambda b, i: seen.append(b.agg(F.min("t"), F.max("t"), F.count("*")).first())).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     q.awaitTermination()
-    assert len(seen) >= 3 and sum(r[2] for r in seen) == 1000
-    assert [r[0] for r in seen] == sorted(r[0] for r in seen)
+    assert len(seen) == 4 and sum(r[2] for r in seen) == 1000
+    assert all(a[1] < b[0] for a, b in zip(seen, seen[1:]))
+
+
+@pytest.mark.parametrize("parts", [1, 8, 16])
+def test_windows_lose_no_row_of_a_replay(spark, parts):
+    rows = spark.range(20_000).select(((F.col("id") * 7919) % 20_000 * 7_000).alias("ts"), F.lit(1).alias("one")).repartition(parts)
+    got = twins.window_over(spark, rows, "all", "ts", "1 hour", [], {"n": "one"})
+    want = windows.window_sums(rows, "ts", "1 hour", [], {"n": "one"})
+    done = twins.closed(want)
+    _same(got.where(F.col("edt") <= done.agg(F.max("edt")).first()[0]), done)
+
+
+@pytest.mark.parametrize("parts", [16])
+@pytest.mark.parametrize("key", ["dws_traffic_keyword", "ijoin_user_sup", "strictly_newer_detail", "visitor_is_new_fix", "dws_user_login"])
+def test_twin_equals_batch_from_many_partitions(spark, monkeypatch, key, parts):
+    plain = sources.replay
+    monkeypatch.setattr(twins, "replay", lambda spark, df, *a: plain(spark, df.repartition(parts), *a))
+    test_twin_equals_batch(spark, key)
 
 
 def _run_to(spark, df, tmp_path, seconds):
