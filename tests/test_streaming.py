@@ -146,10 +146,20 @@ def test_sinks_compact_and_survive_retries(spark, tmp_path):
     up(rows(("a", 3, "u", "z"), ("b", 1, "r", "late")), 2)
     up(rows(("a", 3, "u", "z"), ("b", 1, "r", "late")), 2)  # retried
     assert sorted((r.id, r.v) for r in up.state(spark).collect()) == [("a", "z")]
-    read = {f.split("/u/")[1].split("/")[0] + "/" + f.split("/u/")[1].split("/")[1] for f in up.log(spark).inputFiles()}
-    assert not any("_batch=0" in f for f in read if f.startswith("base")) and any(f.startswith("base/_upto=1") for f in read)
+    read = {"/".join(f.split("/u/")[1].split("/")[:3]) for f in up.log(spark).inputFiles()}
+    assert {f.split("/part")[0] for f in read} == {"base/_upto=1", "delta/after=1/_batch=2"}
     up.compact(spark)
+    up.compact(spark)  # nothing new: no base
     assert sorted((r.id, r.v) for r in up.state(spark).collect()) == [("a", "z")]
+    # a base that died on the way, in part or without its pointer, is not read
+    (tmp_path / "u" / "base" / "_upto=9").mkdir()
+    rows(("z", 9, "r", "half")).withColumn("_batch", F.lit(9)).write.parquet(str(tmp_path / "u" / "base" / "_upto=10"))
+    assert up.upto(spark) == 2 and sorted((r.id, r.v) for r in up.state(spark).collect()) == [("a", "z")]
+    assert up.vacuum(spark) == 1 and up.vacuum(spark) == 0
+    up(rows(("c", 4, "r", "new")), 3)
+    assert sorted((r.id, r.v) for r in up.state(spark).collect()) == [("a", "z"), ("c", "new")]
+    left = spark.read.option("recursiveFileLookup", "true").schema("id string").parquet(str(tmp_path / "u" / "delta" / "after=-1"), str(tmp_path / "u" / "delta" / "after=1"))
+    assert left.count() == 0
 
     wide = sinks.ColumnwiseSink(str(tmp_path / "w"), "k", ["seq"])
     change = lambda *r: spark.createDataFrame(list(r), "k string, op string, seq int, after map<string,string>")
@@ -177,7 +187,16 @@ def test_fan_out_dynamic_and_analytic_writers(spark, tmp_path):
         write(topics, 0)
         load(topics, 7)
     assert spark.read.json(str(tmp_path / "topics")).count() == 2
-    assert spark.read.json(str(tmp_path / "olap" / "t")).count() == 2
+    table = sinks.analytic_table(str(tmp_path / "olap"), "t")
+    assert table.read(spark).count() == 2
+    topics.write.json(str(tmp_path / "olap" / "t" / "data" / "_label=t-8"))  # written, not committed
+    assert table.read(spark).count() == 2
+    load(topics, 8)
+    assert table.read(spark).count() == 4 and sorted(r.label for r in table.labels(spark).collect()) == ["t-7", "t-8"]
+    append = sinks.append_writer(str(tmp_path / "topic"))
+    for k in (0, 1, 1):
+        append(topics, k)
+    assert sinks.CommittedLoads(str(tmp_path / "topic"), "json").read(spark).count() == 4
 
 
 def test_text_source_drops_null_values_and_kafka_options(spark, tmp_path):
