@@ -223,3 +223,210 @@ class HoldLatest(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class ChangelogJoin(StatefulProcessor):
+    """Two-sided join state of one key (J-2 ... J-6 as streams, D-12).
+
+    Input rows are ``(k, side, id, ord, op, body)``: a version of row ``id`` of the left ('l') or right ('r') side. The latest version
+    per id is held on each side (later or equal ``ord`` replaces; op 'd' leaves a tombstone, so versions may come in any order), for
+    ``ttl_ms`` of processing time after its last change. Output is a changelog of joined rows: 'u' puts the pair (l_id, r_id), 'd' takes it back; ``seq`` orders the changes
+    of a key. With ``outer`` a left row without a partner is put with an empty right side, and taken back when a partner
+    arrives. A micro-batch emits its net effect. What a side's expired row had emitted stays as it is.
+
+    Rows are handled one at a time in Python: a key is a fact's identity and sees a handful of versions.
+    """
+
+    def __init__(self, outer: bool = False, ttl_ms: int | None = None):
+        self.outer, self.ttl_ms = outer, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        row = T.StructType([T.StructField("ord", T.StringType()), T.StructField("body", T.StringType())])
+        key = T.StructType([T.StructField("id", T.StringType())])
+        self.sides = {s: handle.getMapState(s, key, row, self.ttl_ms) for s in ("l", "r")}
+        self.seq = handle.getValueState("seq", T.StructType([T.StructField("n", T.LongType())]))
+
+    def _pairs(self, l: dict, r: dict) -> dict:
+        l, r = ({i: v for i, v in side.items() if v[1] is not None} for side in (l, r))
+        if not r and self.outer:
+            return {(i, None): (v[1], None) for i, v in l.items()}
+        return {(i, j): (v[1], w[1]) for i, v in l.items() for j, w in r.items()}
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        held = {s: {k[0]: tuple(v) for k, v in state.iterator()} for s, state in self.sides.items()}
+        before = self._pairs(held["l"], held["r"])
+        for f in rows:
+            for side, ident, order, op, body in zip(f["side"], f["id"], f["ord"], f["op"], f["body"], strict=True):
+                old = held[side].get(ident)
+                if old is not None and order < old[0]:
+                    continue
+                held[side][ident] = (order, None if op == "d" else body)
+                self.sides[side].updateValue((ident,), held[side][ident])
+        after = self._pairs(held["l"], held["r"])
+        out = [(*p, "d", *before[p]) for p in before if p not in after] + [(*p, "u", *after[p]) for p in after if before.get(p) != after[p]]
+        if not out:
+            return
+        at = self.seq.get()[0] if self.seq.exists() else 0
+        self.seq.update((at + len(out),))
+        frame = pd.DataFrame(out, columns=["l_id", "r_id", "op", "l", "r"], dtype=object)
+        yield frame.assign(k=key[0], seq=range(at, at + len(out)))[["k", "l_id", "r_id", "op", "seq", "l", "r"]]
+
+    def close(self) -> None:
+        pass
+
+
+class FirstOfKey(_Keyed):
+    """W-2's distinct orders: every record, with ``flag`` = 1 on the first one of each value of ``group`` (a window) within the key.
+
+    Corrections (D-3) pass with flag 0 like any later record: what has been counted once is not taken back (N-8).
+    """
+
+    def __init__(self, group: str, out_cols: list[str], flag: str = "first", ttl_ms: int | None = None):
+        self.group, self.out_cols, self.flag, self.ttl_ms = group, out_cols, flag, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getMapState("seen", T.StructType([T.StructField("g", T.LongType())]), T.StructType([T.StructField("x", T.BooleanType())]), self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for f in rows:
+            if not len(f):
+                continue
+            groups = f[self.group].astype("int64")
+            old = {g for g in groups.unique().tolist() if self.seen.containsKey((g,))}
+            for g in set(groups.unique().tolist()) - old:
+                self.seen.updateValue((g,), (True,))
+            yield f[self.out_cols].assign(**{self.flag: (~groups.duplicated() & ~groups.isin(old)).astype("int64")})
+
+
+class SeenOnce(StatefulProcessor):
+    """D-8 with bounded state: passes the first record of each digest within ``ttl_ms`` of processing time.
+
+    State is a map of digests, not of records; the key is the record's user and a part of its digest, so a hot user is spread."""
+
+    def __init__(self, digest: str, out_cols: list[str], ttl_ms: int | None = None):
+        self.digest, self.out_cols, self.ttl_ms = digest, out_cols, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getMapState("seen", T.StructType([T.StructField("d", T.StringType())]), T.StructType([T.StructField("x", T.BooleanType())]), self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for f in rows:
+            f = f.drop_duplicates(self.digest)
+            fresh = [not self.seen.containsKey((d,)) for d in f[self.digest]]
+            for d in f[self.digest][fresh]:
+                self.seen.updateValue((d,), (True,))
+            yield f[self.out_cols][fresh]
+
+    def close(self) -> None:
+        pass
+
+
+class RunningProfile(_Keyed):
+    """D-11 as a running aggregate: per user the distinct OS list, the record count, the latest search item and the latest
+    time, emitted whenever records change it. The batch form is :func:`tillstream.operators.labels.uid_profile_agg`."""
+
+    state_type = T.StructType([
+        T.StructField("os", T.StringType()), T.StructField("n", T.LongType()), T.StructField("item", T.StringType()),
+        T.StructField("item_ts", T.LongType()), T.StructField("ts", T.LongType()),
+    ])
+
+    def __init__(self, ttl_ms: int | None = None):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("profile", self.state_type, self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        os, n, item, item_ts, ts = tuple(self.state.get()) if self.state.exists() else (None, 0, None, None, None)
+        known = set(os.split(",")) if os else set()
+        for f in rows:
+            if not len(f):
+                continue
+            known |= set(f["os"].dropna())
+            n += len(f)
+            searched = f[f["search_item"].notna() & f["ts"].notna()]
+            if len(searched):
+                last = searched.loc[searched["ts"].idxmax()]
+                if item_ts is None or last["ts"] >= item_ts:
+                    item, item_ts = str(last["search_item"]), int(last["ts"])
+            top = f["ts"].max()
+            if pd.notna(top):
+                ts = int(top) if ts is None else max(ts, int(top))
+        os = ",".join(sorted(known))
+        self.state.update((os, n, item, item_ts, ts))
+        out = pd.DataFrame([(key[0], os, n, item, ts)], columns=["uid", "os", "n_events", "search_item", "ts"])
+        yield out.astype({"os": object, "search_item": object, "ts": "Int64"})
+
+
+class ProcessingWindow(StatefulProcessor):
+    """Tumbling windows of processing time (W-3, W-8): a key's records are reduced as they arrive, and a timer at the window's end
+    emits the held value with the window's start (``w_ms``). Records that come when the window is over, but before its
+    timer has fired, emit it themselves and open the next one."""
+
+    def __init__(self, held: T.StructType, length_ms: int):
+        self.held, self.length_ms = held, length_ms
+
+    def reduce(self, value: tuple | None, frame: pd.DataFrame) -> tuple:
+        raise NotImplementedError
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("held", T.StructType([T.StructField("w_ms", T.LongType()), *self.held.fields]))
+
+    def _emit(self, held: tuple) -> pd.DataFrame:
+        return pd.DataFrame([held], columns=["w_ms", *self.held.names], dtype=object).astype({"w_ms": "int64"})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        start = now - now % self.length_ms
+        held = tuple(self.state.get()) if self.state.exists() else None
+        if held is not None and held[0] != start:
+            self.handle.deleteTimer(held[0] + self.length_ms)
+            yield self._emit(held)
+            held = None
+        if held is None:
+            self.handle.registerTimer(start + self.length_ms)
+        value = held[1:] if held is not None else None
+        for f in rows:
+            if len(f):
+                value = self.reduce(value, f)
+        self.state.update((start, *value))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.state.exists():
+            held = tuple(self.state.get())
+            self.state.clear()
+            yield self._emit(held)
+
+    def close(self) -> None:
+        pass
+
+
+class WindowLast(ProcessingWindow):
+    """W-8: the last value of the window wins (by ``order``; the later arrival on ties)."""
+
+    def __init__(self, order: str, held: T.StructType, length_ms: int = 120_000):
+        super().__init__(held, length_ms)
+        self.order, self.at = order, held.names.index(order)
+
+    def reduce(self, value: tuple | None, frame: pd.DataFrame) -> tuple:
+        last = frame.sort_values(self.order, kind="mergesort").iloc[-1]
+        row = tuple(getattr(v, "item", lambda v=v: v)() for v in (_plain(last[c]) for c in self.held.names))
+        return row if value is None or value[self.at] is None or row[self.at] >= value[self.at] else value
+
+
+class WindowSums(ProcessingWindow):
+    """W-3: decimal sums per key and window. The first held column is the key; amounts travel as strings, nulls add nothing."""
+
+    def __init__(self, key: str, sums: list[str], length_ms: int = 10_000):
+        super().__init__(T.StructType([T.StructField(c, T.StringType()) for c in (key, *sums)]), length_ms)
+        self.key, self.sums = key, sums
+
+    def reduce(self, value: tuple | None, frame: pd.DataFrame) -> tuple:
+        out = [str(frame[self.key].iloc[0])]
+        for k, c in enumerate(self.sums, 1):
+            parts = [Decimal(v) for v in frame[c] if _plain(v) is not None]
+            old = value[k] if value is not None else None
+            total = sum(parts, Decimal(old) if old is not None else Decimal(0))
+            out.append(str(total) if parts or old is not None else None)
+        return tuple(out)

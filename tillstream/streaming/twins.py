@@ -42,17 +42,27 @@ def topic(spark: SparkSession, df: DataFrame, name: str, order: str, batches: in
     return replay(spark, df, _scratch(spark, f"topic-{name}"), order, batches)
 
 
-def run(spark: SparkSession, df: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run a streaming frame to completion (availableNow) into parquet; return what was written."""
-    base = _scratch(spark, name)
-    q = (
-        df.writeStream.format("parquet")
-        .outputMode(mode)
-        .option("checkpointLocation", f"{base}/_checkpoint")
-        .option("path", f"{base}/data")
-        .trigger(availableNow=True)
-        .start()
-    )
+def run(spark: SparkSession, df: DataFrame, name: str, mode: str = "append", timed: bool = False, base: str | None = None) -> DataFrame:
+    """Run a streaming frame to completion (availableNow) into parquet; return what was written.
+
+    ``timed``: the frame's state lives in processing time (TTL or timers). Such a query always asks for another batch, so it
+    must not run batches without data here. ``base`` names the folder, to run a query on from where it was.
+    """
+    base, idle = base or _scratch(spark, name), "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(idle)
+    try:
+        if timed:
+            spark.conf.set(idle, "false")
+        q = (
+            df.writeStream.format("parquet")
+            .outputMode(mode)
+            .option("checkpointLocation", f"{base}/_checkpoint")
+            .option("path", f"{base}/data")
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set(idle, before)
     _finish(q)
     return spark.read.schema(df.schema).parquet(f"{base}/data")
 
@@ -71,8 +81,7 @@ def run_foreach(spark: SparkSession, df: DataFrame, name: str, sink) -> None:
 
 def _tws(df: DataFrame, key: str | list[str], proc, schema: str) -> DataFrame:
     """Keyed state without timers. The reference's state TTLs are processing-time TTLs; a processor
-    built with ``ttl_ms`` needs ``timeMode="ProcessingTime"`` and a processing-time trigger (the
-    bounded ``availableNow`` runs used here do not advance processing-time state)."""
+    built with ``ttl_ms`` needs ``timeMode="ProcessingTime"`` (and ``run(timed=True)`` in a bounded run)."""
     mode = "ProcessingTime" if getattr(proc, "ttl_ms", None) else "None"
     return df.groupBy(*([key] if isinstance(key, str) else key)).transformWithStateInPandas(
         statefulProcessor=proc, outputStructType=schema, outputMode="Append", timeMode=mode
