@@ -6,13 +6,20 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from test_streaming import _same
 from tillstream.plans import QUERIES
+from tillstream.session import prepare
 from tillstream.streaming import joins, twins
 
 
+@pytest.fixture(scope="module")
+def detail_changes(spark):
+    return joins.order_detail_changes(prepare(spark), SF_SMALL)
+
+
 @pytest.mark.parametrize("key", sorted(joins.TWINS))
-def test_join_twin_equals_batch(spark, key):
+def test_join_twin_equals_batch(spark, key, detail_changes):
     twin, windows_stay_open = joins.TWINS[key]
-    streamed, batch = twin(spark, SF_SMALL), QUERIES[key](spark, SF_SMALL)
+    shared = [detail_changes] if key in ("dwd_trade_order_detail", "dwd_trade_order_cancel", "dwd_trade_pay_suc") else []
+    streamed, batch = twin(spark, SF_SMALL, *shared), QUERIES[key](spark, SF_SMALL)
     if windows_stay_open:
         done = twins.closed(batch)
         assert done.count() > 3

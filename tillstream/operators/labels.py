@@ -221,21 +221,31 @@ RIGHT_MODELS = ["pay_time", "b1name", "tname", "amount"]
 def age_level_join(b2: DataFrame, b4: DataFrame, lower_ms: int = -24 * HOUR, upper_ms: int = 24 * HOUR, faithful: bool = False) -> DataFrame:
     """J-12 + M-7: base2 ⋈ base4 on uid within ±24 h; per pair the bucket with the largest summed
     weight. ``faithful`` reproduces the reference reading base4 weights from the wrong side (N-13)."""
+    l, r = age_sides(b2, b4)
+    return age_of(interval_join(l, r, "uid", "r_uid", "ts", "r_ts_ms", lower_ms, upper_ms), faithful)
+
+
+def age_sides(b2: DataFrame, b4: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The columns of base2 and (prefixed ``r_``) base4 that J-12 needs."""
     keep2 = ["uid", "ts"] + [f"{m}_{b}" for m in LEFT_MODELS for b in scoring.BUCKETS]
     keep4 = ["uid", "ts_ms"] + [f"{m}_{b}" for m in RIGHT_MODELS for b in scoring.BUCKETS]
-    l = b2.select(*keep2)
-    r = b4.select(*[F.col(c).alias(f"r_{c}") for c in keep4])
-    j = interval_join(l, r, "uid", "r_uid", "ts", "r_ts_ms", lower_ms, upper_ms)
+    return b2.select(*keep2), b4.select(*[F.col(c).alias(f"r_{c}") for c in keep4])
+
+
+def age_of(joined: DataFrame, faithful: bool = False) -> DataFrame:
+    """M-7 of the joined pairs."""
     right = [] if faithful else [f"r_{m}" for m in RIGHT_MODELS]
     sums = scoring.bucket_sums(LEFT_MODELS, right)
-    return j.select("uid", F.col("ts").alias("ts_ms"), scoring.age_level(sums).alias("age_level"))
+    return joined.select("uid", F.col("ts").alias("ts_ms"), scoring.age_level(sums).alias("age_level"))
 
 
 def final_label(ages: DataFrame, b6: DataFrame, lower_ms: int = -24 * HOUR, upper_ms: int = 24 * HOUR) -> DataFrame:
     """J-13: (base2 ⋈ base4) ⋈ base6 on uid within ±24 h; right fields override left ones."""
     r = b6.select(*[F.col(c).alias(f"r_{c}") for c in b6.columns])
-    j = interval_join(ages, r, "uid", "r_uid", "ts_ms", "r_ts_ms", lower_ms, upper_ms)
-    shared = set(ages.columns) & set(b6.columns)
-    out = [F.coalesce(F.col(f"r_{c}"), F.col(c)).alias(c) if c in shared else F.col(c) for c in ages.columns]
-    out += [F.col(f"r_{c}").alias(c) for c in b6.columns if c not in shared]
-    return j.select(*out)
+    return merged_label(interval_join(ages, r, "uid", "r_uid", "ts_ms", "r_ts_ms", lower_ms, upper_ms), ages.columns, b6.columns)
+
+
+def merged_label(joined: DataFrame, left: list[str], right: list[str]) -> DataFrame:
+    """J-13's merge: right fields (``r_<name>``) override left ones."""
+    out = [F.coalesce(F.col(f"r_{c}"), F.col(c)).alias(c) if c in right else F.col(c) for c in left]
+    return joined.select(*out, *[F.col(f"r_{c}").alias(c) for c in right if c not in left])

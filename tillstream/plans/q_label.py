@@ -183,9 +183,17 @@ def label_age_level(spark, sf_dir):
 @query("label_final")
 def label_final(spark, sf_dir):
     """J-13: age level ⋈ base6 (base6 on its J-13 time line: 2024-01-01 + (uid % 30) days)."""
+    return labels.final_label(_ages(spark, sf_dir), _base6_timed(spark, sf_dir))
+
+
+def _base6_timed(spark, sf_dir):
     b6 = _base6(spark, sf_dir).select("uid", "gender", "age", "decade", "zodiac_sign", "height", "weight", "ts_ms")
-    b6 = b6.withColumn("ts_ms", F.lit(EPOCH_2024_MS) + (F.col("uid").cast("bigint") % 30) * DAY_MS)
-    return labels.final_label(_ages(spark, sf_dir), b6)
+    return b6.withColumn("ts_ms", F.lit(EPOCH_2024_MS) + (F.col("uid").cast("bigint") % 30) * DAY_MS)
+
+
+def label_bases(spark, sf_dir):
+    """base2, base4 and base6 on the time lines of J-12 and J-13: the topics of the label job."""
+    return _base2(spark, sf_dir), _base4_timed(spark, sf_dir), _base6_timed(spark, sf_dir)
 
 
 # ---- comments -----------------------------------------------------------------------------------

@@ -117,36 +117,37 @@ def order_detail_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("date_id", epoch_string_to_date(F.col("create_time"))).select("pk", "op", "seq", *facts.DETAIL_OUT)
 
 
-def trade_order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J-2 twin."""
+def trade_order_detail(spark: SparkSession, sf_dir: str, detail: DataFrame | None = None) -> DataFrame:
+    """J-2 twin. ``detail`` is the changelog of :func:`order_detail_changes` where it has been made before."""
     prepare(spark)
-    return final_state(spark, order_detail_changes(spark, sf_dir), "order_detail")
+    return final_state(spark, order_detail_changes(spark, sf_dir) if detail is None else detail, "order_detail")
 
 
-def _with_detail(spark: SparkSession, sf_dir: str, name: str, other: DataFrame, key: str, ident: list[str], order: Column, keep: list[str]) -> DataFrame:
+def _with_detail(spark: SparkSession, sf_dir: str, name: str, changes: DataFrame | None, other: DataFrame, key: str, ident: list[str], order: Column, keep: list[str]) -> DataFrame:
     """The J-2 changelog (columns ``keep``) ⋈ ``other`` on the order id, as a changelog."""
-    detail = follow(spark, f"{name}_detail", order_detail_changes(spark, sf_dir).select("pk", "op", "seq", *keep))
+    changes = order_detail_changes(spark, sf_dir) if changes is None else changes
+    detail = follow(spark, f"{name}_detail", changes.select("pk", "op", "seq", *keep))
     left = side(detail, ["order_id"], ["pk"], order_key("seq"), F.col("op"))
     return join_topics(spark, name, detail, other, left, side(other, [key], ident, order))
 
 
-def trade_order_cancel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trade_order_cancel(spark: SparkSession, sf_dir: str, detail: DataFrame | None = None) -> DataFrame:
     """J-3 twin: detail changelog ⋈ cancelled orders."""
     prepare(spark)
     cols = [c for c in facts.DETAIL_OUT if c not in ("create_time", "ts_ms")]
     orders = facts.order_info(_rows(spark, sf_dir, "order_info"), ("1001", "1003")).select(F.col("id").alias("_oid"), F.col("operate_time").alias("cancel_time"), "ts_ms")
-    out = _with_detail(spark, sf_dir, "order_cancel", _arriving(spark, orders, "cancelled"), "_oid", ["_oid"], order_key("ts_ms"), cols)
+    out = _with_detail(spark, sf_dir, "order_cancel", detail, _arriving(spark, orders, "cancelled"), "_oid", ["_oid"], order_key("ts_ms"), cols)
     return final_state(spark, out.select("pk", "op", "seq", *cols, "cancel_time", "ts_ms"), "order_cancel")
 
 
-def trade_pay_success(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trade_pay_success(spark: SparkSession, sf_dir: str, detail: DataFrame | None = None) -> DataFrame:
     """J-4 twin: detail changelog ⋈ paid payments."""
     prepare(spark)
     st = F.col("after")["payment_status"]
     pay = facts.rows_of(_rows(spark, sf_dir, "payment_info"), "payment_info").filter(st.isNotNull() & (st == "1602"))
     pay = pay.select(*facts.after("user_id", "callback_time", _poid="order_id", _pid="id", payment_type_code="payment_type"), "ts_ms")
     keep = [c for c in facts.DETAIL_OUT if c not in ("user_id", "ts_ms", "date_id", "create_time")]
-    out = _with_detail(spark, sf_dir, "pay_suc", _arriving(spark, pay, "paid"), "_poid", ["_pid", "_poid"], order_key("ts_ms"), keep)
+    out = _with_detail(spark, sf_dir, "pay_suc", detail, _arriving(spark, pay, "paid"), "_poid", ["_pid", "_poid"], order_key("ts_ms"), keep)
     cols = ["sku_id", "sku_name", "province_id", "activity_id", "activity_rule_id", "coupon_id", "payment_type_code", "callback_time", "sku_num", "split_original_amount", "split_activity_amount", "split_coupon_amount"]
     out = out.select("pk", "op", "seq", F.col("id").alias("order_detail_id"), "order_id", "user_id", *cols, F.col("split_total_amount").alias("split_payment_amount"), "ts_ms")
     return final_state(spark, out, "pay_suc")

@@ -377,14 +377,85 @@ def ijoin_comment_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, j.select("id", "order_id", "ts_ms", *[f"info_{f}" for f in fields]), "comment_order")
 
 
-def dedup_full_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D-8 twin: streaming ``dropDuplicates`` over whole device records (state holds every distinct
-    record; ``dropDuplicatesWithinWatermark`` bounds it when a time column is available)."""
+def dedup_full_row(spark: SparkSession, sf_dir: str, ttl_ms: int | None = None) -> DataFrame:
+    """D-8 twin: state is a map of 128-bit record digests per user (and part of the digest, so a hot user is spread), which
+    forgets a digest ``ttl_ms`` after it was seen."""
     from ..plans.q_label import replayed
 
     prepare(spark)
-    dev = topic(spark, replayed(labels.device_info(label_page_log(spark, sf_dir))), "devices", "ts")
-    return run(spark, state.dedup_full_row(dev.drop("event_id")), "dedup")
+    dev = topic(spark, replayed(labels.device_info(label_page_log(spark, sf_dir))).drop("event_id"), "devices", "ts")
+    return run(spark, seen_once(dev, "uid", ttl_ms), "dedup", timed=ttl_ms is not None)
+
+
+def seen_once(rows: DataFrame, key: str, ttl_ms: int | None = None, parts: int = 16) -> DataFrame:
+    """The first of identical records (null equals null) of a stream, by :class:`.processors.SeenOnce`."""
+    whole = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+    keyed = rows.select(F.col(key).cast("string").alias("k"), F.md5(whole).alias("d"), whole.alias("body")).withColumn("part", F.pmod(F.xxhash64("d"), F.lit(parts)))
+    passed = _tws(keyed, ["k", "part"], P.SeenOnce("d", ["body"], ttl_ms), "body string")
+    return passed.select(F.from_json("body", rows.schema).alias("r")).select("r.*")
+
+
+def running_profile(devices: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+    """D-11 as a running aggregate: a user's profile each time that records change it."""
+    rows = devices.where("uid is not null").select("uid", "os", "search_item", "ts")
+    return _tws(rows, "uid", P.RunningProfile(ttl_ms), "uid string, os string, n_events long, search_item string, ts long")
+
+
+def uid_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D-11 twin: the last emission per user (the one of most records) is the batch profile."""
+    prepare(spark)
+    emitted = run(spark, running_profile(topic(spark, labels.device_info(label_page_log(spark, sf_dir)), "profiles", "ts")), "profile")
+    return state.last_per_group(emitted, ["uid"], ["n_events"])
+
+
+def label_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J-12 -> J-13 twin: two interval joins (24 h either way). The first one's ages are a topic; the second query sets a watermark
+    of its own over it (T-5, 5 s), as one query may not. Both are inner joins, so every pair is emitted when its later row comes."""
+    ages = run(spark, _ages(spark, sf_dir), "ages")
+    return run(spark, _labels(spark, ages, _bases(spark, sf_dir)[2]), "labels")
+
+
+def age_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J-12 twin."""
+    return run(spark, _ages(spark, sf_dir), "ages")
+
+
+def _bases(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    from ..plans.q_label import label_bases
+
+    return label_bases(prepare(spark), sf_dir)
+
+
+def _ages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base2, base4, _ = _bases(spark, sf_dir)
+    l, r = labels.age_sides(base2, base4)
+    return labels.age_of(_interval(spark, l, r, ("uid", "r_uid"), ("ts", "r_ts_ms"), "-24 hours", "24 hours", "3 seconds"))
+
+
+def _labels(spark: SparkSession, ages: DataFrame, base6: DataFrame) -> DataFrame:
+    r = base6.select(*[F.col(c).alias(f"r_{c}") for c in base6.columns])
+    return labels.merged_label(_interval(spark, ages, r, ("uid", "r_uid"), ("ts_ms", "r_ts_ms"), "-24 hours", "24 hours", "5 seconds"), ages.columns, base6.columns)
+
+
+# ---- windows of processing time ----------------------------------------------------------------
+
+
+def _by_timer(rows: DataFrame, key: str, proc: P.ProcessingWindow) -> DataFrame:
+    out = T.StructType([T.StructField("w_ms", T.LongType()), *proc.held.fields])
+    return rows.groupBy(key).transformWithStateInPandas(statefulProcessor=proc, outputStructType=out, outputMode="Append", timeMode="ProcessingTime")
+
+
+def last_by_timer(rows: DataFrame, key: str, order: str, length_ms: int = 120_000) -> DataFrame:
+    """W-8 as the reference runs it: the last record per key and window of processing time, emitted by timer when the window ends."""
+    return _by_timer(rows, key, P.WindowLast(order, rows.schema, length_ms))
+
+
+def sku_order_by_timer(details: DataFrame, length_ms: int = 10_000) -> DataFrame:
+    """W-3 as the reference runs it: sums per sku and window of processing time, emitted by timer. ``details`` has ``sku_id`` and the amounts."""
+    from ..operators.windows import SKU_SUMS
+
+    rows = details.select(F.col("sku_id").cast("string").alias("sku_id"), *[F.col(src).cast("decimal(18,4)").cast("string").alias(out) for out, src in SKU_SUMS.items()])
+    return _by_timer(rows, "sku_id", P.WindowSums("sku_id", list(SKU_SUMS), length_ms))
 
 
 #: key -> (twin, whether its last windows stay open)
@@ -410,4 +481,7 @@ TWINS = {
     "ijoin_order_detail": (ijoin_order_detail, False),
     "ijoin_comment_order": (ijoin_comment_order, False),
     "dedup_full_row": (dedup_full_row, False),
+    "label_uid_profile_agg": (uid_profile, False),
+    "label_age_level": (age_level, False),
+    "label_final": (label_chain, False),
 }
