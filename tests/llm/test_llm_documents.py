@@ -444,3 +444,28 @@ def test_written_shards_keep_texts_in_slot_order(sc, tmp_path):
     sharding.write_shards(frame(sc, ODD * 4), str(tmp_path / "out"), shards=3)
     back = sc.read.parquet(str(tmp_path / "out")).collect()
     assert Counter(r["text"] for r in back) == Counter(ODD * 4) and {r["shard"] for r in back} == {0, 1, 2}
+
+
+# ---- callers' columns and rows without an id
+
+
+def test_null_ids_keep_one_row_of_every_group(sc):
+    words = [" ".join(f"{w}{k}" for k in range(60)) for w in ("apple", "stone", "river")]
+    rows = [(None, words[0], "x"), (None, words[1], "x"), (None, words[0], "x"), (4, words[2], "x"), (None, words[2], "x"), (2, words[2], "x")]
+    docs = sc.createDataFrame(rows, "doc_id long, text string, __text_key string")
+    got = simhash.keep_one(docs)
+    assert got.columns == docs.columns and {(r.doc_id, r.text) for r in got.collect()} == {(None, words[0]), (None, words[1]), (2, words[2])}
+
+
+def test_callers_columns_with_inner_names_come_back(sc):
+    names = ["__n", "__u", "__copy", "__rate", "__order", "__runs", "__key", "__rid", "__shard", "__slot", "__U_", "kept_n"]
+    line = "a line of quite many words that stands in more than one document of them all"
+    docs = frame(sc, [f"{line}\nown {k}" for k in range(4)]).select("*", *[F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in names])
+    for made in (line_dedup.stage(docs), mixing.stage(docs), simhash.keep_one(docs)):
+        assert made.columns == docs.columns
+        assert all(r[c] == f"{c}{r['doc_id']}" for r in made.collect() for c in names)
+    out = sharding.shard(docs)
+    assert sorted(r["__slot"] for r in out.where("__shard = 0").collect()) == list(range(out.where("__shard = 0").count()))
+    rows = out.collect()
+    assert len(rows) == 4 and all(r["__rid"] == f"__rid{r['doc_id']}" and r["__slot_"] == f"__slot{r['doc_id']}" and r["__shard_"] == f"__shard{r['doc_id']}" for r in rows)
+    assert all(r["__copy_"] == f"__copy{r['doc_id']}" and r["__copy"] >= 0 for r in mixing.replicate(docs).collect())

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +40,33 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sheltered(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator ``fn(docs, ...)`` that names columns of its own with two underscores, made safe for callers who do so too: their
+    columns pass under other names and come back under their own, or with one more underscore at the end where the
+    result has a column of that name."""
+
+    @wraps(fn)
+    def run(docs: DataFrame, *args, **how) -> DataFrame:
+        used, names = {c.lower() for c in docs.columns}, {}
+        for c in [c for c in docs.columns if c.startswith("__")]:
+            names[c] = f"kept_{c.strip('_')}"
+            while names[c].lower() in used:
+                names[c] += "_"
+            used.add(names[c].lower())
+        if not names:
+            return fn(docs, *args, **how)
+        out = fn(docs.withColumnsRenamed(names), *args, **how)
+        taken, back = {c.lower() for c in out.columns}, {}
+        for c, name in names.items():
+            while c.lower() in taken:
+                c += "_"
+            taken.add(c.lower())
+            back[name] = c
+        return out.withColumnsRenamed(back)
+
+    return run
+
+
 def text_key(text: str = "text") -> Column:
     """64-bit digest that tells rows with the same id and another text apart (null: 0)."""
     return F.coalesce(F.xxhash64(F.col(text)), F.lit(0).cast("long"))

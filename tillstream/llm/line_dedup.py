@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import materialize, text_key
+from .common import materialize, sheltered, text_key
 
 GRAM = 2
 WINDOW = 2
@@ -143,6 +143,7 @@ def kept_lines(lines: Column, runs: Column) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(0), n), gap))
 
 
+@sheltered
 def dedup_lines(docs: DataFrame, window: int = WINDOW, whole: bool = True) -> DataFrame:
     """``docs`` with ``text`` cut, plus ``__runs`` (null where nothing repeats)."""
     runs = materialize(repeated_runs(docs, window, whole), "runs")
@@ -158,6 +159,7 @@ def removed(runs: Column) -> Column:
     return F.coalesce(F.aggregate(runs, F.lit(0), lambda a, r: a + r["stop"] - r["start"]), F.lit(0))
 
 
+@sheltered
 def stage(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with repeated runs of lines deleted; ``n_chars`` follows the text. No row is dropped."""
     out = dedup_lines(docs, window)

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, sheltered
 
 SEED = 17
 TEMPERATURE = 0.5
@@ -71,6 +71,7 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, other: float
     return materialize(counts.mapInPandas(table, "source string, n long, weight double, rate double, cdf array<double>"), "rates")
 
 
+@sheltered
 def replicate(docs: DataFrame, weights: dict[str, float] | None = None, seed: int = SEED, **how: float) -> DataFrame:
     """``docs`` replicated to the weights and shuffled, plus ``__copy`` (from 0), ``__rate`` and ``__order`` (the shuffle's key)."""
     by = rates(docs, weights, **how).select(F.col("source").alias("__source"), F.col("rate").alias("__rate"), F.col("cdf").alias("__cdf"))
@@ -82,5 +83,6 @@ def replicate(docs: DataFrame, weights: dict[str, float] | None = None, seed: in
     return keyed.select(*docs.columns, "__copy", "__rate", "__order").repartition("__order").sortWithinPartitions("__order")
 
 
+@sheltered
 def stage(docs: DataFrame, weights: dict[str, float] | None = None, seed: int = SEED) -> DataFrame:
     return replicate(docs, weights, seed).select(*docs.columns)

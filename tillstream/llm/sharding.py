@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import materialize
+from .common import materialize, sheltered
 
 SHARDS = 24
 PARTITIONS = 512
@@ -107,6 +107,7 @@ def assign(rows: DataFrame, shards: int, partitions: int, seed: int) -> DataFram
     return ranked.select("__rid", "__shard", (F.col("offset") + F.col("inside") - 1).alias("__slot"))
 
 
+@sheltered
 def shard(docs: DataFrame, shards: int = SHARDS, partitions: int = PARTITIONS, seed: int = SEED) -> DataFrame:
     """``docs`` plus ``__shard`` (0 to ``shards`` - 1) and ``__slot`` (gapless from 0 in each shard)."""
     rows = materialize(docs.withColumn("__rid", F.monotonically_increasing_id()), "rows")

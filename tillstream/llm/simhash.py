@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_key
+from .common import materialize, sheltered, text_key
 from .graph import EDGE, components, forest
 
 BITS = 64
@@ -254,22 +254,30 @@ def links(reps: DataFrame, max_bits: int) -> DataFrame:
     return grouped.mapInPandas(run, EDGE)
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, text_key, fingerprint hex, component_id)``: smallest id reachable over links, one row per input row."""
+def _rooted(docs: DataFrame, words: int, max_bits: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The fingerprint of every row, and ``(fp, first, root)`` of every distinct one: the root names its group, ``first`` is its smallest id."""
     fps = materialize(fingerprints(docs, words, id_col, text_col), "fingerprints")
     reps = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     found = materialize(components(links(reps, max_bits)), "components")
     rooted = reps.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    rooted = materialize(rooted, "rooted")
+    return fps, materialize(rooted, "rooted")
+
+
+def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, text_key, fingerprint hex, component_id)``: smallest id reachable over links, one row per input row."""
+    fps, rooted = _rooted(docs, words, max_bits, id_col, text_col)
     smallest = materialize(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
     named = materialize(rooted.join(smallest, "root").select("fp", "component_id"), "named")
     return fps.join(named, "fp").select("doc_id", "text_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@sheltered
 def keep_one(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
-    """``docs`` (with ``doc_id`` and ``text``) with one row of each group: the smallest id, then the smallest text key."""
-    groups = near_duplicates(docs, words, max_bits)
-    stay = groups.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("s"))
+    """``docs`` (with ``doc_id`` and ``text``) with one row of each group: the smallest id (rows without one last), then the smallest text key.
+
+    Groups are told apart by their fingerprints, so rows without an id stay with their own group."""
+    fps, rooted = _rooted(docs, words, max_bits, "doc_id", "text")
+    stay = fps.join(rooted.select("fp", "root"), "fp").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("s"))
     stay = materialize(stay.select(F.col("s.doc_id").alias("__id"), F.col("s.text_key").alias("__key")), "stay")
     keyed = docs.withColumn("__text_key", text_key())
     same = keyed["doc_id"].eqNullSafe(stay["__id"]) & (keyed["__text_key"] == stay["__key"])
