@@ -165,7 +165,7 @@ def test_digests_not_records_are_held(spark, tmp_path):
     """D-8's state has one small entry per distinct record."""
     rows = [(f"u{i % 3}", "long text " * 100 + str(i % 40)) for i in range(200)]
     stream = _files(spark, tmp_path / "in", "uid string, body string", rows[:100], rows[100:])
-    q = twins.seen_once(stream, "uid").writeStream.format("memory").queryName("digests").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q = twins.seen_once(stream).writeStream.format("memory").queryName("digests").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     q.awaitTermination()
     distinct = len(set(rows))
     assert spark.table("digests").count() == distinct

@@ -301,7 +301,7 @@ class FirstOfKey(_Keyed):
 class SeenOnce(StatefulProcessor):
     """D-8 with bounded state: passes the first record of each digest within ``ttl_ms`` of processing time.
 
-    State is a map of digests, not of records; the key is the record's user and a part of its digest, so a hot user is spread."""
+    State is a map of digests, not of records; the key is a part of the digest, so a hot user is spread."""
 
     def __init__(self, digest: str, out_cols: list[str], ttl_ms: int | None = None):
         self.digest, self.out_cols, self.ttl_ms = digest, out_cols, ttl_ms

@@ -378,20 +378,20 @@ def ijoin_comment_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_full_row(spark: SparkSession, sf_dir: str, ttl_ms: int | None = None) -> DataFrame:
-    """D-8 twin: state is a map of 128-bit record digests per user (and part of the digest, so a hot user is spread), which
-    forgets a digest ``ttl_ms`` after it was seen."""
+    """D-8 twin: state is maps of 128-bit record digests, parted by the digest (a hot user is spread), which forget a digest
+    ``ttl_ms`` after it was seen."""
     from ..plans.q_label import replayed
 
     prepare(spark)
     dev = topic(spark, replayed(labels.device_info(label_page_log(spark, sf_dir))).drop("event_id"), "devices", "ts")
-    return run(spark, seen_once(dev, "uid", ttl_ms), "dedup", timed=ttl_ms is not None)
+    return run(spark, seen_once(dev, ttl_ms), "dedup", timed=ttl_ms is not None)
 
 
-def seen_once(rows: DataFrame, key: str, ttl_ms: int | None = None, parts: int = 16) -> DataFrame:
-    """The first of identical records (null equals null) of a stream, by :class:`.processors.SeenOnce`."""
+def seen_once(rows: DataFrame, ttl_ms: int | None = None, parts: int = 256) -> DataFrame:
+    """The first of identical records (null equals null) of a stream, by :class:`.processors.SeenOnce`; ``parts`` bounds the tasks."""
     whole = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
-    keyed = rows.select(F.col(key).cast("string").alias("k"), F.md5(whole).alias("d"), whole.alias("body")).withColumn("part", F.pmod(F.xxhash64("d"), F.lit(parts)))
-    passed = _tws(keyed, ["k", "part"], P.SeenOnce("d", ["body"], ttl_ms), "body string")
+    keyed = rows.select(F.md5(whole).alias("d"), whole.alias("body")).withColumn("part", F.pmod(F.xxhash64("d"), F.lit(parts)))
+    passed = _tws(keyed, "part", P.SeenOnce("d", ["body"], ttl_ms), "body string")
     return passed.select(F.from_json("body", rows.schema).alias("r")).select("r.*")
 
 
