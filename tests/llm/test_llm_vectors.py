@@ -105,9 +105,11 @@ def test_calibrated_count_keeps_threshold_pairs():
     assert (far >= count).mean() < 0.01
 
 
-@pytest.mark.parametrize("block", [2048, 9])
-def test_top_k_equals_brute_force(sc, block, monkeypatch):
+@pytest.mark.parametrize(("block", "side"), [(2048, 32), (9, 32), (9, 2)])
+def test_top_k_equals_brute_force(sc, block, side, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK", block)
+    monkeypatch.setattr(topk, "QUERIES", 3)
+    monkeypatch.setattr(topk, "SIDE", side)
     rng = np.random.default_rng(5)
     rows = [(i, rng.integers(-3, 4, 8).astype("f4").tolist(), 0) for i in range(160)]  # many ties
     rows += [(200, None, 0), (201, [float("nan")] * 8, 0), (202, [None] * 8, 0), (250, [0.5] * 8, None), (300, [9.0] * 3, 0), (7, rows[7][1], 0), (None, rows[3][1], 0), (350, [], 0)]
@@ -122,6 +124,36 @@ def test_top_k_equals_brute_force(sc, block, monkeypatch):
     assert topk.top_k(sc.createDataFrame([], VECTORS)).count() == 0
 
 
+def test_top_k_among_many_equal_vectors_and_ids(sc):
+    rng = np.random.default_rng(2)
+    a, b, c = (rng.integers(-40, 40, 6).astype("f4").tolist() for _ in range(3))
+    rows = [(i, a) for i in range(40, 400)] + [(i, b) for i in range(900, 990)] + [(50, a)] * 9 + [(51, a)] * 7 + [(1000, c), (0, [-x for x in a])]
+    ints = [(i, np.floor(np.array(v) * 256).astype("i8")) for i, v in rows]
+    want = {}
+    for q in {i for i, _ in rows if i % 50 == 0}:
+        x = min((tuple(v.tolist()) for i, v in ints if i == q))
+        best = sorted((-int(np.dot(x, y)), i) for i, y in ints if i != q)[:5]
+        want.update({(q, r + 1): (i, -s) for r, (s, i) in enumerate(best)})
+    table = sc.createDataFrame([(i, v, 0) for i, v in rows], VECTORS)
+    assert {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in topk.top_k(table).collect()} == want
+    assert topk.searched(topk.integers(table), 5).count() < 60  # of 468 rows
+
+
+def test_top_k_reads_few_exact_rows_and_broadcasts_nothing(sc, monkeypatch):
+    rng = np.random.default_rng(3)
+    table = sc.createDataFrame([(i, v.astype("f4").tolist(), 0) for i, v in enumerate(rng.normal(size=(6000, 32)))], VECTORS)
+    monkeypatch.setattr(topk, "BLOCK", 512)
+    exact = topk.integers(table)
+    blocks = topk.materialize(topk.approximation_file(topk.searched(exact, 5)), "blocks")
+    packs = topk.materialize(topk.query_packs(topk.asked_rows(exact, 50)), "packs")
+    assert "exact" not in blocks.columns and "v" not in blocks.columns
+    met = topk.survivors(blocks, packs, 5)
+    assert "Broadcast" not in met._jdf.queryExecution().explainString(sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    wanted = topk.wanted_rows(met, 5)
+    per_query = wanted.count() / 120
+    assert 5 <= per_query < 60  # of 5,999
+
+
 def test_components_of_paths_stars_and_loops(sc):
     path = [(i, i + 1) for i in range(0, 300)]
     star = [(1000, 1000 + i) for i in range(1, 400)]
