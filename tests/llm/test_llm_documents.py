@@ -59,6 +59,79 @@ def test_quality_reads_whole_texts_in_slices(sc, monkeypatch):
     np.testing.assert_allclose(quality.pooled(m, [long, good[1]]), whole, atol=1e-5)
 
 
+def plain_pooled(m, text):
+    """The network by loops over bytes, filter positions and chunks."""
+    raw = list(text.encode())
+    n = -(-len(raw) // quality.HALF)
+    flag = [any(all(i - j - lag >= 0 and raw[i - j] == raw[i - j - lag] for j in range(quality.REPEAT)) for lag in quality.LAGS) for i in range(len(raw))]
+    vectors = [m.embed[b + 256 * f] for b, f in zip(raw, flag)]
+    zero, best = np.zeros(quality.WIDTH), np.zeros(quality.FILTERS)
+    at = lambda i: vectors[i] if i < len(vectors) else zero
+    for c in range(n):
+        out = []
+        for p in range(c * quality.HALF, min((c + 2) * quality.HALF, len(raw)), quality.STEP):
+            first, second = (np.concatenate([at(i + j) for j in range(quality.STEP)]) for i in (p, p + quality.STEP))
+            out.append(np.maximum(first @ m.kernel[:, : quality.FILTERS] + second @ m.kernel[:, quality.FILTERS :] + m.shift, 0))
+        best = np.maximum(best, np.mean(out, axis=0))
+    return best
+
+
+def small_model(rng):
+    k = quality
+    m = k.Model(*[rng.normal(0, s, shape).astype("float32") for s, shape in ((0.5, (k.BLANK + 1, k.WIDTH)), (0.3, (k.STEP * k.WIDTH, 2 * k.FILTERS)), (0.1, k.FILTERS), (0.3, k.FILTERS))], 0.2)
+    m.embed[k.BLANK] = 0
+    return m
+
+
+QUALITY_TEXTS = ["", "a", "abcd" * 40, "The quick brown fox, " * 9 + "jumps é漢 over!", "x y z " * 70 + "QWERTY 0123456789 " * 12, "\n".join(f"line {i * i}" for i in range(60))]
+
+
+@pytest.mark.parametrize("slice_bytes", [1 << 18, 128])
+def test_quality_network_equals_plain_loops(monkeypatch, slice_bytes):
+    monkeypatch.setattr(quality, "SLICE", slice_bytes)
+    m = small_model(np.random.default_rng(4))
+    np.testing.assert_allclose(quality.pooled(m, QUALITY_TEXTS), [plain_pooled(m, t) for t in QUALITY_TEXTS], rtol=1e-4, atol=1e-4)
+
+
+@pytest.mark.parametrize("slice_bytes", [1 << 18, 128])
+def test_quality_gradient_equals_differences(monkeypatch, slice_bytes):
+    monkeypatch.setattr(quality, "SLICE", slice_bytes)
+    rng = np.random.default_rng(8)
+    m, y = small_model(rng), np.array([1.0, 0, 1, 0, 1, 0])
+    texts = [t.encode() for t in QUALITY_TEXTS]
+
+    def loss(m):
+        p = quality.probability(m, quality.pooled(m, QUALITY_TEXTS))
+        return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
+
+    grads = quality._gradient(m, texts, y)
+    for k, name in enumerate(["embed", "kernel", "shift", "weight", "bias"]):
+        g, value = grads[k], getattr(m, name)
+        step = 1e-3 * (g / np.linalg.norm(g)) if name != "bias" else np.array([1e-3])
+        if name == "embed":
+            step[quality.BLANK] = 0
+        ends = []
+        for sign in (1, -1):
+            other = quality.Model(m.embed, m.kernel, m.shift, m.weight, m.bias)
+            setattr(other, name, value + sign * step if name != "bias" else float(value + sign * step[0]))
+            ends.append(loss(other))
+        assert ends[0] - ends[1] == pytest.approx(2 * float((g * step).sum()), rel=0.03), name
+
+
+def test_quality_sample_takes_whole_texts_within_its_bounds(sc):
+    docs = frame(sc, ["word " * (i * 40) for i in range(60)] + [None])
+    labels = sc.createDataFrame([(i, i % 2, 0) for i in range(61)] + [(7, 0, 0)], "doc_id long, quality int, toxic int")
+    whole = {r["doc_id"]: r["text"] for r in docs.collect()}
+    fold = [i for i in range(61) if zlib.crc32(str(i).encode()) % 5]
+    rows = quality.sample(docs, labels).collect()
+    assert sorted(r["doc_id"] for r in rows) == fold and all(r["text"] == whole[r["doc_id"]] for r in rows)
+    some = quality.sample(docs, labels, max_rows=20).collect()
+    assert [r["doc_id"] for r in some] == [r["doc_id"] for r in rows[:20]]
+    few = quality.sample(docs, labels, max_chars=20_000).collect()
+    assert 3 < len(few) < len(rows) and sum(len(r["text"] or "") for r in few) <= 20_000 and all(r["text"] == whole[r["doc_id"]] for r in few)
+    assert quality.sample(docs.union(docs.where("doc_id = 8")), labels).where("doc_id = 8").count() == 2
+
+
 def test_quality_without_labels_or_with_one_class(sc):
     docs = frame(sc, ODD)
     none = sc.createDataFrame([], "doc_id long, quality int, toxic int")
@@ -112,10 +185,51 @@ def test_secrets_ownership_separates_copied_from_owned(sc):
     by = {r["doc_id"]: r for r in out}
     assert by[5]["spans"] == [] and by[5]["n_copied"] == 1
     assert [secret_scan.KINDS[s["kind"]] for s in by[100]["spans"]] == ["owned", "assign"] and by[100]["n_live"] == 2
+    assert {(s["repositories"], s["owners"]) for s in by[100]["spans"]} == {(1, 1)}
     assert by[101]["spans"] == [] and by[102]["n_live"] == 0
     assert secret_scan.secrets(docs.limit(0)).count() == 0
 
 
+def test_secrets_added_kind_equals_brute_force(sc):
+    rng = random.Random(21)
+    pool = ["".join(rng.choice("abcXYZ0123456789+/_=-") for _ in range(rng.randint(18, 26))) for _ in range(60)]
+    fill = ["token=", "see", "AKIA" + "Q7" * 9, "0f" * 14, ".", "\n", "é"]
+    rows = []
+    for i in range(400):
+        tokens = [rng.choice(pool[: 12 + i // 8]) if rng.random() < 0.5 else rng.choice(fill) for _ in range(rng.randint(0, 6))]
+        # the first tokens of the pool stand in every source, others in one or two, some of them very often
+        rows.append((i, " ".join(tokens), "en", f"s{i % 7 if i % 2 else 0}", 0))
+    wanted, places = {}, {}
+    for i, text, _, source, _ in rows:
+        wanted[i] = []
+        base = [(a, b) for _, a, b in plain_secrets(text)]
+        values = [(m[2], "assign", m.start(), m.end()) for m in secret_scan.ASSIGN.finditer(text) if len(m[2]) >= 6]
+        values += [(text[a:b], k, a, b) for k, a, b in plain_secrets(text) if k != "assign"]
+        for m in re.finditer("[A-Za-z0-9+/_=-]+", text):
+            v = m[0]
+            if len(v) >= 20 and all(re.search(c, v) for c in ("[0-9]", "[a-z]", "[A-Z]")) and not any(a < m.end() and m.start() < b for a, b in base):
+                values.append((v, "owned", m.start(), m.end()))
+        for v, k, a, b in values:
+            places.setdefault(v, set()).add((source, i))
+            wanted[i].append((v, k, a, b))
+    live = {v: len({s for s, _ in at}) <= 2 and len(at) <= 8 for v, at in places.items()}
+    spread = {(len({s for s, _ in at}) <= 2, len(at) <= 8) for at in places.values()}
+    assert spread == {(True, True), (True, False), (False, True), (False, False)} or len(spread) >= 3
+    out = {r["doc_id"]: r for r in secret_scan.secrets(sc.createDataFrame(rows, DOCS)).collect()}
+    for i, found in wanted.items():
+        got = {(secret_scan.KINDS[s["kind"]], s["start"], s["stop"], s["repositories"], s["owners"]) for s in out[i]["spans"]}
+        assert got == {(k, a, b, len(places[v]), len({s for s, _ in places[v]})) for v, k, a, b in found if k != "owned" or live[v]}
+        assert [out[i]["n_live"], out[i]["n_copied"]] == [sum(live[v] == x for v, *_ in found) for x in (True, False)]
+
+
+def test_secrets_copied_within_one_hot_source(sc):
+    value = "Kq7" * 9
+    rows = [(i, f"key {value}", "en", "hot", 0) for i in range(50)] + [(90 + i, "own Zx8Zx8Zx8Zx8Zx8Zx8Zx8", "en", "hot", 0) for i in range(3)]
+    out = {r["doc_id"]: r for r in secret_scan.secrets(sc.createDataFrame(rows, DOCS)).collect()}
+    assert all(out[i]["spans"] == [] and out[i]["n_copied"] == 1 for i in range(50))
+    assert all([(s["repositories"], s["owners"]) for s in out[90 + i]["spans"]] == [(3, 1)] for i in range(3))
+
+
 # ---- 4 substrings
 
 

@@ -2,7 +2,8 @@
 
 ORACLE: dict[str, str] = {}
 
-# Two-line grams, window of two: a gram is a fingerprint if it is no larger than the one after or before it.
+# Every later place of a long line and of a run of three lines goes; so do runs of two lines whose gram is a fingerprint, that is
+# no larger than the gram after or before it (window of two), as far as they match their gram's first place.
 ORACLE["op5_line_dedup"] = """
 WITH cut AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
 lines AS (SELECT doc_id, unnest(lines) AS line, CAST(generate_subscripts(lines, 1) - 1 AS INTEGER) AS pos FROM cut),
@@ -25,7 +26,17 @@ runs AS (
          m.pos + 2 + CASE WHEN m.after = f.after THEN 1 ELSE 0 END AS stop
   FROM placed m JOIN placed f ON m.gram = f.gram AND f.place = 1
   WHERE m.place > 1 AND m.h = f.h AND m.h2 = f.h2),
-gone AS (SELECT DISTINCT doc_id, unnest(range(start, stop)) AS pos FROM runs),
+long_lines AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS place FROM lines
+  WHERE length(line) > 60 OR len(string_split_regex(trim(line), '[ \\t\\n\\x0B\\f\\r]+')) > 5),
+threes AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY h, h2, after ORDER BY doc_id, pos) AS place FROM around
+  WHERE after IS NOT NULL),
+found AS (
+  SELECT doc_id, start, stop FROM runs
+  UNION ALL SELECT doc_id, pos, pos + 1 FROM long_lines WHERE place > 1
+  UNION ALL SELECT doc_id, pos, pos + 3 FROM threes WHERE place > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start, stop)) AS pos FROM found),
 marked AS (SELECT l.*, g.pos IS NOT NULL AS gone FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos),
 joined AS (
   SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text,

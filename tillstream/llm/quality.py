@@ -5,13 +5,14 @@ few bytes further back, is embedded; learned filters of ``2 * STEP`` bytes slide
 in steps of ``STEP``; their rectified responses are averaged in overlapping chunks of ``2 * HALF`` bytes;
 each filter's largest chunk, over all chunks of the document, goes into one logistic unit.
 
-Training reads a bounded sample: at most ``max_rows`` labelled rows outside the held-out fold, of long
-texts ``SAMPLE_CHARS`` characters from the start, the middle and the end. Scoring reads every byte of
-every text, in slices, so memory does not grow with a text.
+Training reads a bounded sample of whole texts: labelled rows outside the held-out fold in the order of a hash of their
+id, at most ``max_rows`` of them and as many as come to ``max_chars`` characters (a longer text is not drawn). Scoring and
+training read every byte of every text, in slices; scoring's memory does not grow with a text.
 
 Defined cases: a null text is scored as an empty one; an empty text has no chunk, so its pooled
 responses are zero and it gets the bias's probability; without labels, or with one class only, every
-document gets the share of good labels (0.5 without any). Rows that repeat an id are scored one by one.
+document gets the share of good labels (0.5 without any). Rows that repeat an id are scored one by one; of
+several labels of one id the largest counts.
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
+
+from .common import materialize, text_key
 
 STEP = 4
 WIDTH = 8
@@ -37,7 +41,7 @@ BLANK = 512
 #: Bytes scored at a time, a multiple of HALF.
 SLICE = 1 << 18
 SAMPLE_ROWS = 4000
-SAMPLE_CHARS = 4000
+SAMPLE_CHARS = 30_000_000
 EPOCHS = 3
 
 
@@ -179,25 +183,33 @@ def train(texts: list[str | None], labels: np.ndarray, epochs: int = EPOCHS, see
 
 
 def _gradient(m: Model, texts: list[bytes], labels: np.ndarray) -> list[np.ndarray]:
-    """Mean gradient of the logistic loss; the texts are short enough for one piece each."""
+    """Mean gradient of the logistic loss. A filter's gradient goes to its first largest chunk, whichever piece of a text holds it."""
     per, cols = HALF // STEP, np.arange(FILTERS)
-    total = [np.zeros_like(p) for p in (m.embed, m.kernel, m.shift, m.weight)] + [np.zeros(1, "float32")]
-    empty = [k for k, t in enumerate(texts) if not t]
-    total[4][0] = sum(float(probability(m, np.zeros(FILTERS))) - labels[k] for k in empty)
-    for x in lay_out(texts):
-        blocks, resp, chunks = _responses(m, x.sym)
-        top = np.stack([f + chunks[f : f + n].argmax(0) for f, n in zip(x.first, x.halves, strict=True)])
-        best = chunks[top, cols]
-        err = (probability(m, best) - labels[x.doc]).astype("float32")
-        total[3] += err @ best
-        total[4] += err.sum()
+    parts = list(lay_out(texts))
+    held = [_responses(m, parts[0].sym)] if len(parts) == 1 else []  # one layout is kept, several are computed again
+    best = np.zeros((len(texts), FILTERS), "float32")
+    tops = []
+    for i, x in enumerate(parts):
+        chunks = (held[i] if held else _responses(m, x.sym))[2]
+        tops.append(np.stack([f + chunks[f : f + n].argmax(0) for f, n in zip(x.first, x.halves, strict=True)]))
+        np.maximum.at(best, x.doc, chunks[tops[i], cols])
+    err = (probability(m, best) - labels).astype("float32")
+    total = [np.zeros_like(m.embed), np.zeros_like(m.kernel), np.zeros_like(m.shift), err @ best, err.sum(keepdims=True)]
+    taken = np.zeros(best.shape, bool)
+    for i, x in enumerate(parts):
+        blocks, resp, chunks = held[i] if held else _responses(m, x.sym)
+        top = tops[i]
+        mine = chunks[top, cols] == best[x.doc]
+        for j, d in enumerate(x.doc):
+            mine[j] &= ~taken[d]
+            taken[d] |= mine[j]
         size = _positions(x.sym[::STEP] == BLANK)[top]
         rows = top[:, None, :] * per + np.arange(2 * per)[None, :, None]  # (piece, position, filter)
-        g = np.where(resp[rows, cols] > 0, (err[:, None] * m.weight / size)[:, None, :], 0).astype("float32")
+        g = np.where((resp[rows, cols] > 0) & mine[:, None, :], (err[x.doc, None] * m.weight / size)[:, None, :], 0).astype("float32")
         total[2] += g.sum((0, 1))
         flat = np.zeros((len(blocks) + 1, 2 * FILTERS), "float32")
-        flat[rows, cols] = g
-        flat[rows + 1, cols + FILTERS] = g
+        np.add.at(flat, (rows, cols), g)
+        np.add.at(flat, (rows + 1, cols + FILTERS), g)
         used = np.flatnonzero(flat[:-1].any(1))
         total[1] += blocks[used].T @ flat[used]
         np.add.at(total[0], x.sym.reshape(-1, STEP)[used].ravel(), (flat[used] @ m.kernel.T).reshape(-1, WIDTH))
@@ -209,19 +221,23 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, max_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """At most ``max_rows`` labelled rows of the training fold, drawn by a hash of the id."""
+def sample(docs: DataFrame, labels: DataFrame, max_rows: int = SAMPLE_ROWS, max_chars: int = SAMPLE_CHARS) -> DataFrame:
+    """``(doc_id, quality, text)``: at most ``max_rows`` labelled rows of the training fold and ``max_chars`` characters, whole
+    texts in the order of a hash of the id."""
     known = labels.select("doc_id", "quality").where("quality is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
     drawn = known.groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    n, size = F.length("text"), SAMPLE_CHARS
-    middle = F.substring("text", (n / 2 - size / 2).cast("int"), F.lit(size))
-    ends = F.concat(F.substring("text", 1, size), middle, F.substring("text", -size, size))
+    n = F.coalesce(F.length("text"), F.lit(0)).cast("long")
     # the drawn ids are at most max_rows, a parameter
-    return docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("doc_id", "quality", F.when(n > 3 * size, ends).otherwise(F.col("text")).alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_rows)
+    known = docs.select("doc_id", "text", n.alias("n")).where(F.col("n") <= max_chars).join(F.broadcast(drawn), "doc_id")
+    rows = materialize(known.orderBy(F.xxhash64("doc_id"), "doc_id", text_key()).limit(max_rows).withColumn("at", F.monotonically_increasing_id()), "sample")
+    # one task: max_rows numbers
+    total = F.sum("n").over(W.orderBy(F.xxhash64("doc_id"), "doc_id", "at").rowsBetween(W.unboundedPreceding, 0))
+    within = rows.select("at", total.alias("total")).where(F.col("total") <= max_chars)
+    return rows.join(F.broadcast(within), "at").orderBy(F.xxhash64("doc_id"), "doc_id", "at").select("doc_id", "quality", "text")
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = SAMPLE_ROWS) -> Model:
-    rows = sample(docs, labels, max_rows).collect()
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = SAMPLE_ROWS, max_chars: int = SAMPLE_CHARS) -> Model:
+    rows = sample(docs, labels, max_rows, max_chars).collect()
     return train([r["text"] for r in rows], np.array([float(r["quality"]) for r in rows]))
 
 

@@ -52,6 +52,7 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         count("hex"),
         F.sha2(secret_scan.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         secret_scan.listed(F.col("spans")).alias("spans"),
+        F.concat_ws(",", F.transform("spans", lambda s: F.concat_ws(":", s["repositories"].cast("string"), s["owners"].cast("string")))).alias("span_counts"),
         "n_live",
         "n_copied",
     )
@@ -71,9 +72,9 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with the later repeats of runs of lines deleted, by the selection that its SQL states."""
+    """Every document with the later repeats of runs of lines and of long lines deleted."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
-    out = line_dedup.dedup_lines(docs, whole=False)
+    out = line_dedup.dedup_lines(docs)
     return out.select("doc_id", "text", "n_lines", line_dedup.removed(F.col("__runs")).alias("n_removed"))
 
 

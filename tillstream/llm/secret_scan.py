@@ -4,18 +4,19 @@ Base kinds, each found leftmost and non-overlapping in the whole text: ``assign`
 secret's name), ``access`` (access key ids) and ``hex`` (long lower-case hexadecimal runs). The method adds
 candidates of kind ``owned``: other long mixed tokens that touch no base span.
 
-Every candidate's value is hashed (128 bits) and the hashes are counted by distinct repositories
-(``source`` and ``lang``) and owners (``source``) over the whole corpus. A value with at most
-``max_owners`` owners is specific to them and looks live; one that more owners share is a copied example.
-Tokens of the added kind become spans only if they are owner-specific; base spans always stay, and the
-columns ``n_live`` and ``n_copied`` tell how many of a document's candidates are of either sort.
-
-Scale: a document hands on its spans and hashes only. Counting first drops repeats of (hash, owner,
-repository) with partial sums, so an example in a third of all documents ships few rows; the counts are
-joined back from written tables, whose hot hashes Spark can split.
-
-Defined cases: a null text counts as empty; a null source or language is an owner or repository of its
-own; rows equal in id and text are scanned one by one and agree; other columns are not read.
+Every candidate's value is hashed (128 bits) and the hashes are counted by distinct repositories (a document
+is one) and owners (``source``) over the whole corpus. A value with at most ``max_owners`` owners and at most
+``max_repositories`` repositories is specific to its owner and looks live; one that more share is a copied example, also
+when all its copies lie with one owner. Tokens of the added kind become spans only if they look live; base spans always
+stay, the columns ``n_live`` and ``n_copied`` tell how many of a document's candidates are of either sort, and
+every span carries both counts.
+
+Scale: a document hands on its spans and hashes only. Counting goes in three steps with partial sums (rows of one
+repository, repositories of one owner, owners), so no task gathers the owners or the documents of a value; the
+counts are joined back from written tables, whose hot hashes Spark can split.
+
+Defined cases: a null text counts as empty; a null source is an owner of its own; rows without an id are one
+repository for each text; rows equal in id and text are scanned one by one and agree; other columns are not read.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
 MAX_OWNERS = 2
+MAX_REPOSITORIES = 8
 
 
 def scan(text: str) -> list[tuple[int, int, int, str]]:
@@ -75,10 +77,11 @@ def _scan_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """``(h1, h2, repositories, owners)`` of rows ``(h1, h2, source, lang)``."""
-    once = found.groupBy("h1", "h2", "source", "lang").agg(F.lit(1).alias("one"))
-    owner = F.struct(F.col("source").isNull(), F.coalesce("source", F.lit("")))
-    return once.groupBy("h1", "h2").agg(F.count("*").alias("repositories"), F.size(F.collect_set(owner)).alias("owners"))
+    """``(h1, h2, repositories, owners)`` of rows ``(h1, h2, doc_id, key, source)``."""
+    repository = F.when(F.col("doc_id").isNull(), F.col("key"))
+    once = found.groupBy("h1", "h2", "source", "doc_id", repository.alias("text")).agg(F.lit(1).alias("one"))
+    by_owner = once.groupBy("h1", "h2", "source").agg(F.count("*").alias("n"))
+    return by_owner.groupBy("h1", "h2").agg(F.sum("n").alias("repositories"), F.count("*").alias("owners"))
 
 
 def listed(spans: Column) -> Column:
@@ -87,30 +90,33 @@ def listed(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["stop"].cast("string"))))
 
 
-def secrets(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """``(doc_id, base, spans, n_live, n_copied)``: arrays of spans (start, kind, stop), one row per input row."""
+def secrets(docs: DataFrame, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
+    """``(doc_id, base, spans, n_live, n_copied)``, one row per input row: base spans (start, kind, stop), and all spans that stay
+    with their ``repositories`` and ``owners``."""
     scanner = F.pandas_udf(_scan_batches, "start array<int>, kind array<int>, stop array<int>, h1 array<long>, h2 array<long>")
-    made = docs.select("doc_id", text_key().alias("key"), "source", "lang", scanner("text").alias("f"))
+    made = docs.select("doc_id", text_key().alias("key"), "source", scanner("text").alias("f"))
     span = F.arrays_zip("f.start", "f.kind", "f.stop", "f.h1", "f.h2")
-    rows = materialize(made.select("doc_id", "key", "source", "lang", span.alias("found")), "scanned")
-    each = rows.where(F.size("found") > 0).select("doc_id", "key", "source", "lang", F.explode("found").alias("f")).select("doc_id", "key", "source", "lang", "f.*")
+    rows = materialize(made.select("doc_id", "key", "source", span.alias("found")), "scanned")
+    each = rows.where(F.size("found") > 0).select("doc_id", "key", "source", F.explode("found").alias("f")).select("doc_id", "key", "source", "f.*")
     each = materialize(each, "candidates")
     counts = materialize(ownership(each), "ownership")
-    judged = each.join(counts, ["h1", "h2"]).withColumn("live", F.col("owners") <= max_owners)
-    place = F.struct("start", "kind", "stop", "live")
-    by_doc = materialize(judged.groupBy("doc_id", "key").agg(F.collect_set(place).alias("judged")), "judged")
+    place = F.struct("start", "kind", "stop", "repositories", "owners")
+    by_doc = materialize(each.join(counts, ["h1", "h2"]).groupBy("doc_id", "key").agg(F.collect_set(place).alias("judged")), "judged")
     by_doc = by_doc.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), "judged")
     joined = rows.join(by_doc, rows["doc_id"].eqNullSafe(by_doc["__id"]) & (rows["key"] == by_doc["__key"]), "left")
 
     def plain(s: Column) -> Column:
         return F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["stop"].alias("stop"))
 
-    none = F.coalesce("judged", F.array().cast("array<struct<start:int,kind:int,stop:int,live:boolean>>"))
+    def live(s: Column) -> Column:
+        return (s["owners"] <= max_owners) & (s["repositories"] <= max_repositories)
+
+    none = F.coalesce("judged", F.array().cast("array<struct<start:int,kind:int,stop:int,repositories:bigint,owners:bigint>>"))
     own = KINDS.index("owned")
     return joined.select(
         "doc_id",
         F.transform(F.filter("found", lambda s: s["kind"] < own), plain).alias("base"),
-        F.sort_array(F.transform(F.filter(none, lambda s: (s["kind"] < own) | s["live"]), plain)).alias("spans"),
-        F.size(F.filter(none, lambda s: s["live"])).alias("n_live"),
-        F.size(F.filter(none, lambda s: ~s["live"])).alias("n_copied"),
+        F.sort_array(F.filter(none, lambda s: (s["kind"] < own) | live(s))).alias("spans"),
+        F.size(F.filter(none, live)).alias("n_live"),
+        F.size(F.filter(none, lambda s: ~live(s))).alias("n_copied"),
     )
