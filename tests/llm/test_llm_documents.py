@@ -127,8 +127,8 @@ def test_quality_sample_takes_whole_texts_within_its_bounds(sc):
     assert sorted(r["doc_id"] for r in rows) == fold and all(r["text"] == whole[r["doc_id"]] for r in rows)
     some = quality.sample(docs, labels, max_rows=20).collect()
     assert [r["doc_id"] for r in some] == [r["doc_id"] for r in rows[:20]]
-    few = quality.sample(docs, labels, max_chars=20_000).collect()
-    assert 3 < len(few) < len(rows) and sum(len(r["text"] or "") for r in few) <= 20_000 and all(r["text"] == whole[r["doc_id"]] for r in few)
+    few = quality.sample(docs, labels, max_chars=60_000).collect()
+    assert 3 < len(few) < len(rows) and sum(len(r["text"] or "") for r in few) <= 60_000 and all(r["text"] == whole[r["doc_id"]] for r in few)
     assert quality.sample(docs.union(docs.where("doc_id = 8")), labels).where("doc_id = 8").count() == 2
 
 
