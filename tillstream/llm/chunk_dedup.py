@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 
 from .common import materialize, text_key
 
-LEAST, MOST = 40, 512
+LEAST, MOST = 24, 512
 REACH = 16
-BITS = 5
-LEAST_RUN = 64
+BITS = 4
+LEAST_RUN = 128
 SLICE = 1 << 22
 #: One random 32-bit number for each byte value.
 GEAR = np.random.default_rng(97).integers(0, 1 << 32, 256, dtype="u4")
