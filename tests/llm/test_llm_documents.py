@@ -582,6 +582,17 @@ def test_sharding_odd_rows(sc):
     assert sharding.shard(docs.limit(0)).count() == 0
 
 
+def test_partitions_and_ranges_follow_the_rows(sc):
+    assert sharding.sizes(0, 24) == sharding.sizes(1 << 30, 24) == (512, 8)
+    partitions, bits = sharding.sizes(10**11, 24)
+    assert 10**11 <= partitions * sharding.GROUP_ROWS and 10**11 <= (24 << bits) * sharding.GROUP_ROWS and partitions < 25_000
+    assert sharding.sizes(700, 2, 4, 1) == (700, 9)
+    docs = sc.range(700).selectExpr("id as doc_id", "concat('t', id % 9) as text")
+    rows = sharding.shard(docs, shards=2, partitions=4, group_rows=1).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(700))
+    assert all(sorted(r["__slot"] for r in rows if r["__shard"] == s) == list(range(350)) for s in (0, 1))
+
+
 def test_written_shards_keep_texts_in_slot_order(sc, tmp_path):
     sharding.write_shards(frame(sc, ODD * 4), str(tmp_path / "out"), shards=3)
     back = sc.read.parquet(str(tmp_path / "out")).collect()

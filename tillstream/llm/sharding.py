@@ -8,10 +8,12 @@ permutes its rows (order of a second hash) and deals them to the shards by its r
 the exchange each shard permutes what it got (order of a third hash) and numbers it from 0.
 
 The ranks are taken over rows of (id, hash) alone; a rank inside a shard is the rank inside one of
-``BUCKETS`` ranges of the third hash plus the counts of the ranges before it, so no task sorts a whole
+many ranges of the third hash plus the counts of the ranges before it, so no task sorts a whole
 shard. The rows themselves, whatever their size or repeats, move once, joined by their unique id.
 
-The driver holds the partitions' counts and the matrix: ``partitions * shards`` numbers, both parameters.
+Partitions and ranges follow the number of rows (``sizes``): on average a partition, and a range of a shard, holds at most
+``GROUP_ROWS`` ids however large the table is. The driver holds the partitions' counts and the matrix, ``partitions * shards``
+numbers: about 600,000 for 1e11 rows in 24 shards.
 
 Defined cases: a null text has no bytes; rows that are equal in every column are rows of their own; an
 empty table gives an empty result; columns keep their names, the two new ones are ``__shard`` and ``__slot``.
@@ -31,10 +33,17 @@ from .common import materialize, sheltered
 
 SHARDS = 24
 PARTITIONS = 512
-BUCKETS = 256
+RANGE_BITS = 8
+GROUP_ROWS = 1 << 22
 SEED = 29
 
 
+def sizes(rows: int, shards: int, partitions: int = PARTITIONS, group_rows: int = GROUP_ROWS) -> tuple[int, int]:
+    """Number of partitions, at least ``partitions``, and bits of the third hash that name a range of a shard."""
+    ranges = -(-rows // (shards * group_rows))
+    return max(partitions, -(-rows // group_rows)), max(RANGE_BITS, (ranges - 1).bit_length())
+
+
 def hypergeometric(rng: random.Random, good: int, bad: int, drawn: int) -> int:
     """Good ones among ``drawn`` taken without replacement: inversion outwards from the mode."""
     least, most = max(0, drawn - bad), min(drawn, good)
@@ -86,8 +95,9 @@ def _hash(seed: int) -> Column:
     return F.xxhash64("__rid", F.lit(seed))
 
 
-def assign(rows: DataFrame, shards: int, partitions: int, seed: int) -> DataFrame:
+def assign(rows: DataFrame, shards: int, partitions: int, seed: int, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``(__rid, __shard, __slot)`` for rows with a unique ``__rid``."""
+    partitions, bits = sizes(rows.count(), shards, partitions, group_rows)
     thin = rows.select("__rid", F.pmod(_hash(seed), F.lit(partitions)).cast("int").alias("part"))
     counted = {r["part"]: r["n"] for r in thin.groupBy("part").agg(F.count("*").alias("n")).collect()}
     matrix = communication([counted.get(p, 0) for p in range(partitions)], shards, seed)
@@ -97,7 +107,7 @@ def assign(rows: DataFrame, shards: int, partitions: int, seed: int) -> DataFram
 
     permuted = thin.withColumn("rank", F.row_number().over(W.partitionBy("part").orderBy(_hash(seed + 1), "__rid")))
     sent = permuted.join(matrix_rows, "part").select("__rid", F.size(F.filter("ends", lambda e: e < F.col("rank"))).alias("__shard"), _hash(seed + 2).alias("turn"))
-    sent = materialize(sent.withColumn("bucket", F.shiftrightunsigned("turn", 56).cast("int")), "sent")
+    sent = materialize(sent.withColumn("bucket", F.shiftrightunsigned("turn", 64 - bits).cast("int")), "sent")
 
     counts = sent.groupBy("__shard", "bucket").agg(F.count("*").alias("n"))
     before = F.sum("n").over(W.partitionBy("__shard").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1))
@@ -108,10 +118,10 @@ def assign(rows: DataFrame, shards: int, partitions: int, seed: int) -> DataFram
 
 
 @sheltered
-def shard(docs: DataFrame, shards: int = SHARDS, partitions: int = PARTITIONS, seed: int = SEED) -> DataFrame:
-    """``docs`` plus ``__shard`` (0 to ``shards`` - 1) and ``__slot`` (gapless from 0 in each shard)."""
+def shard(docs: DataFrame, shards: int = SHARDS, partitions: int = PARTITIONS, seed: int = SEED, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """``docs`` plus ``__shard`` (0 to ``shards`` - 1) and ``__slot`` (gapless from 0 in each shard), dealt over ``partitions`` partitions or more."""
     rows = materialize(docs.withColumn("__rid", F.monotonically_increasing_id()), "rows")
-    return rows.join(assign(rows, shards, partitions, seed), "__rid").select(*docs.columns, "__shard", "__slot")
+    return rows.join(assign(rows, shards, partitions, seed, group_rows), "__rid").select(*docs.columns, "__shard", "__slot")
 
 
 def write_shards(docs: DataFrame, path: str, **how: int) -> None:
