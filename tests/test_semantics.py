@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
@@ -186,6 +187,8 @@ def test_sensitive_hits_do_not_depend_on_dictionary_size_or_ids(spark, tmp_path)
     (tmp_path / "words.txt").write_text("Die\n\n que \nund\ndie\n")
     loaded = comments.load_dictionary(spark, str(tmp_path / "words.txt"))
     assert loaded == ["die", "que", "und"]
+    with pytest.raises(ValueError, match="more than 2"):
+        comments.load_dictionary(spark, str(tmp_path / "words.txt"), most=2)
     assert sorted(r.hits for r in comments.sensitive_hits(df, words=loaded).collect()) == want
 
 

@@ -51,10 +51,18 @@ def join_comment_order(comments: DataFrame, orders: DataFrame, fields: list[str]
     return j.drop("_oid", "o_ts")
 
 
-def load_dictionary(spark: SparkSession, path: str) -> list[str]:
-    """O-6d: a dictionary file, one word per line: lower-cased, distinct, without blanks, sorted."""
+#: A dictionary is held by the driver and in generated code: a file of more distinct words is refused.
+DICTIONARY_WORDS = 1_000_000
+
+
+def load_dictionary(spark: SparkSession, path: str, most: int = DICTIONARY_WORDS) -> list[str]:
+    """O-6d: a dictionary file, one word per line: lower-cased, distinct, without blanks, sorted.
+
+    At most ``most + 1`` words reach the driver; a file of more than ``most`` fails, no word is left out."""
     word = F.lower(F.trim("value"))
-    rows = spark.read.text(path).select(word.alias("w")).where(F.col("w") != "").distinct().orderBy("w").collect()
+    rows = spark.read.text(path).select(word.alias("w")).where(F.col("w") != "").distinct().orderBy("w").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{path} holds more than {most} distinct words")
     return [r["w"] for r in rows]
 
 

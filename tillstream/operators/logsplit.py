@@ -29,7 +29,8 @@ def parse_log(text: DataFrame, schema: T.StructType = LOG_T, value_col: str = "v
     parsed = F.from_json(
         F.col(value_col), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    return text.select(parsed.alias("j")).select("j.*")
+    # a generated row: filters and fields read the parsed record, where Catalyst would copy the parse into each of them
+    return text.select(F.explode(F.array(parsed)).alias("j")).select("j.*")
 
 
 def clean_rows(parsed: DataFrame) -> DataFrame:

@@ -164,7 +164,9 @@ class StrictlyNewer(_Keyed):
 
 class RetractReplace(_Keyed):
     """D-3: on a new record re-emit the previous one with a negated amount (keeping its own ts), then the
-    new one. Columns travel as strings; a null amount stays null when it is negated."""
+    new one. Columns travel as strings; a null amount stays null when it is negated.
+
+    Rows are handled one at a time in Python: a key is an order detail and sees a handful of versions."""
 
     def __init__(self, amount: str, order: list[str], out_cols: list[str], ttl_ms: int | None = None):
         self.amount, self.order, self.out_cols, self.ttl_ms = out_cols.index(amount), order, out_cols, ttl_ms
@@ -193,7 +195,9 @@ class RetractReplace(_Keyed):
 
 class HoldLatest(StatefulProcessor):
     """D-4: hold a key for ``hold_ms`` of processing time after its first record, then emit the latest
-    record held (later or equal ``order`` replaces) and forget the key."""
+    record held (later or equal ``order`` replaces) and forget the key.
+
+    Each Arrow batch of a key is reduced to one row, and batches are folded in Python: a key is a fact's identity."""
 
     def __init__(self, order: str, out: T.StructType, hold_ms: int = 5000):
         self.order, self.out, self.hold_ms = order, out, hold_ms
