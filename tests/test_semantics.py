@@ -84,6 +84,17 @@ def test_keep_latest_tie_later_arrival_wins(spark):
     assert [r.v for r in got] == ["second"]
 
 
+def test_latest_version_is_last_per_group(spark):
+    # null and repeated keys over several partitions
+    rows = [(None if i % 11 == 0 else f"d{i % 7}", i * 37 % 50, i, f"v{i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "id string, ts long, arrival int, v string").repartition(5)
+    want = {}
+    for r in rows:
+        want[r[0]] = max(want.get(r[0], (-1, -1, "")), r[1:])
+    got = {r.id: (r.ts, r.arrival, r.v) for r in state.latest_version(df, "id", ["ts", "arrival"]).collect()}
+    assert got == want
+
+
 def test_retraction_keeps_old_time(spark):
     df = spark.createDataFrame([("d", 10, "5.00"), ("d", 20, "7.00")], "id string, ts_ms long, amount string")
     df = df.withColumn("amount", F.col("amount").cast("decimal(10,2)"))

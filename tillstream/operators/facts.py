@@ -102,8 +102,8 @@ DETAIL_OUT = [
 def trade_order_detail(topic: DataFrame) -> DataFrame:
     """J-2: order_detail ⋈ order_info ⟕ activity ⟕ coupon, as the upsert topic's final state.
 
-    The latest detail version per id is taken first (partial aggregate), so the two
-    left joins on the detail id reuse that hash partitioning; the order join follows.
+    The latest detail version per id is taken first, so the two left joins on the
+    detail id reuse its hash partitioning; the order join follows.
     """
     od = keep_latest(order_detail(topic), "id", detail_arrival())
     od = od.join(detail_activity(topic).withColumnRenamed("order_detail_id", "id"), "id", "left")

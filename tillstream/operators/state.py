@@ -6,7 +6,8 @@ answer comes from aggregates and window functions. Design rules used here:
 * "first record per key and day" style state (D-2, D-5, D-6, D-7) and "latest
   per key" (D-4, O-7) are a top-1 per key (``row_number() = 1``), which Spark
   plans with a partial ``WindowGroupLimit`` in every map task before the
-  shuffle: a hot user/device ships one row per task, never all of its rows;
+  shuffle: a hot user/device ships one row per task, never all of its rows
+  (order-detail versions use :func:`latest_version`, sorted after the shuffle only);
 * running comparisons (D-3 lead, D-9 running max) use window functions
   partitioned by a *fact primary key* (order-detail id), whose versions per key
   are few by construction; D-7 windows run after the per-day reduction; D-10,
@@ -49,6 +50,13 @@ def last_per_group(df: DataFrame, keys: list, order: list) -> DataFrame:
     return _top1(df, keys, [c.desc() for c in _cols(order)])
 
 
+def latest_version(df: DataFrame, key: str, order: list) -> DataFrame:
+    """:func:`last_per_group` for a fact primary key, whose versions are few: the rows go to their key's
+    task before they are sorted. A top-1 inside each map task would sort (and spill) the task's whole
+    wide split to drop next to nothing."""
+    return last_per_group(df.repartition(F.col(key)), [key], order)
+
+
 # D-2 -------------------------------------------------------------------------------------------
 
 
@@ -89,7 +97,7 @@ def retract_and_replace(
 
 def keep_latest(df: DataFrame, key: str, order: list) -> DataFrame:
     """D-4: per key the record with the greatest (ts, arrival) -- later-or-equal replaces (N-9)."""
-    return last_per_group(df, [key], order)
+    return latest_version(df, key, order)
 
 
 # D-5 -------------------------------------------------------------------------------------------

@@ -99,10 +99,10 @@ def detail_arrival() -> list[Column]:
 
 def _latest_lineitem(li: DataFrame) -> DataFrame:
     """Latest lineitem version per detail id (arrival = shipdate, partkey, suppkey)."""
-    from ..operators.state import last_per_group
+    from ..operators.state import latest_version
 
     keyed = li.withColumn("_id", F.concat_ws("-", s("l_orderkey"), s("l_linenumber")))
-    return last_per_group(keyed, ["_id"], ["l_shipdate", "l_partkey", "l_suppkey"])
+    return latest_version(keyed, "_id", ["l_shipdate", "l_partkey", "l_suppkey"])
 
 
 def order_detail_activity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
