@@ -36,7 +36,7 @@ def test_latest_per_key_uses_top1_not_sort_aggregate(spark, key):
     assert "WindowGroupLimit" in p
 
 
-@pytest.mark.parametrize("key", ["dwd_trade_order_detail", "dwd_trade_pay_suc", "order_keep_latest"])
+@pytest.mark.parametrize("key", ["dwd_trade_order_detail", "dwd_trade_order_cancel", "dwd_trade_pay_suc", "order_keep_latest"])
 def test_latest_detail_sorts_no_scan_split(spark, key):
     # wide detail versions go to their key's task before the first sort: no top-1 (and sort) inside the map tasks
     limits = [x for x in plan(spark, key).split("\n") if "WindowGroupLimit" in x]
