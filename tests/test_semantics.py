@@ -7,7 +7,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tillstream.functions import time as T
-from tillstream.operators import cdc, interval, scoring, state
+from tillstream.operators import cdc, interval, scoring, state, windows
 
 
 def test_label_samples_from_reference_comments(spark):
@@ -290,3 +290,19 @@ def test_sku_sums_use_the_split_original_amount(spark):
     df = spark.createDataFrame([("s", 0, 10, 20, 1, 2, 17)], "sku_id string, ts_ms long, order_price long, split_original_amount long, split_activity_amount long, split_coupon_amount long, split_total_amount long")
     r = windows.sku_order(df).collect()[0]
     assert (r.original_amount, r.order_amount) == (20, 17)
+
+
+def test_province_order_counts_an_order_once_per_window_and_province(spark):
+    # repeated details, a repeated order row, an order in two provinces, null ids, provinces and amounts
+    day = 86_400_000
+    details = [("1", 0, "5.00"), ("1", 5, "-5.00"), ("1", day, "2.00"), ("2", 7, None), ("2", 8, "1.50"), (None, 0, "9.00"), ("3", 1, "4.00"), ("9", 1, "8.00"), ("3", None, "6.00")]
+    d = spark.createDataFrame(details, "order_id string, ts_ms long, a string").withColumn("split_total_amount", F.col("a").cast("decimal(18,4)"))
+    orders = spark.createDataFrame([("1", "p"), ("1", "p"), ("1", "q"), ("2", "p"), ("3", None), ("3", None), (None, "p")], "id string, province_id string")
+    provinces = spark.createDataFrame([("p", "P")], "id string, name string")
+    joined = d.join(orders, d["order_id"] == orders["id"], "inner").groupBy(F.window(F.timestamp_millis("ts_ms"), "1 day").alias("w"), "province_id")
+    want = joined.agg(F.sum("split_total_amount").alias("a"), F.count_distinct("order_id").alias("n"))
+    want = {(str(r.w.start.date()), r.province_id, str(r.a), r.n) for r in want.collect()}
+    out = windows.province_order(d, orders, provinces, "1 day")
+    got = [(r.cur_date, r.province_id, str(r.order_amount), r.order_count) for r in out.collect()]
+    assert len(got) == len(want) == 5 and set(got) == want
+    assert {r.province_name for r in out.collect() if r.province_id == "p"} == {"P"}

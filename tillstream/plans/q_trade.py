@@ -276,9 +276,7 @@ def dws_trade_province_order(spark, sf_dir):
         "id", "order_id", "sku_id", "source_id", F.col("split_total_amount").cast("decimal(18,4)").alias("split_total_amount"), "ts_ms"
     )
     r = state.retract_and_replace(d, "id", ["split_total_amount"], [F.col("ts_ms"), F.col("sku_id").cast("bigint"), F.col("source_id").cast("bigint")])
-    oi = facts.order_info(t).select(F.col("id").alias("_oid"), "province_id")
-    rp = r.join(oi, r["order_id"] == oi["_oid"], "inner")
-    out = windows.province_order(rp, dims.province(spark, sf_dir), DAY)
+    out = windows.province_order(r, facts.order_info(t), dims.province(spark, sf_dir), DAY)
     return out.withColumn("order_amount", F.col("order_amount").cast("string"))
 
 
