@@ -131,6 +131,21 @@ def test_pieces_and_spans_equal_the_library(monkeypatch):
     same_as_library(own, lib, mixtures(2, 200))
 
 
+def test_equal_parts_are_gathered_exactly(monkeypatch):
+    own, lib = pieces.load(MODEL), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    code = np.frombuffer("abcabab".encode("utf-32-le"), "<u4")
+    begin, size = np.array([0, 3, 5]), np.array([3, 2, 2])
+    first, same = pieces.distinct(code, begin, size)
+    assert len(first) == 2 and same[1] == same[2] != same[0] and first[same].tolist() == [0, 1, 1]
+    looked = []
+    monkeypatch.setattr(own, "learn", lambda parts, real=own.learn: (looked.extend(parts), real(parts)))
+    own.encode(["one two one two"] * 50)
+    assert len(looked) == len(set(looked)) < 10
+    monkeypatch.setattr(pieces, "FACTOR", np.uint64(0))  # every hash the same: parts are told apart by their characters
+    assert pieces.distinct(code, begin, size)[1].tolist() == [0, 1, 1]
+    same_as_library(own, lib, mixtures(5, 100))
+
+
 @pytest.mark.parametrize("squeeze", [True, False])
 @pytest.mark.parametrize("prefix", [True, False])
 def test_compiled_map_equals_the_library(squeeze, prefix):

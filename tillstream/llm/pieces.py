@@ -4,7 +4,7 @@ A text is normalised by the model's compiled character map: at each place the lo
 begins there is replaced, anything else is copied, and every normalised character records the byte of the source that it
 came from. Blanks become U+2581 and the dummy prefix is put in front, as the model says. The normalised text is cut wherever
 no piece holds the two characters beside the cut (a merge can never cross there), and each part is merged: of all adjacent
-pairs whose joint string is a piece, the best score goes first, the leftmost on ties. Parts of up to ``SHORT`` characters run
+pairs whose joint string is a piece, the best score goes first, the leftmost on ties. Equal parts are gathered first. Parts of up to ``SHORT`` characters run
 side by side in numpy, longer ones through a heap; a worker keeps up to ``CACHE`` parts. Characters without a piece fall
 back to byte pieces. Every piece is projected through the recorded places to its span of source bytes.
 
@@ -26,7 +26,7 @@ from functools import lru_cache
 from itertools import compress
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +34,8 @@ SHORT = 32
 CACHE = 200_000
 #: Characters of a normalised text that are cut into parts at a time, at least.
 PIECE = 1 << 18
+#: Factor of the hash of a part.
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
 BLANK = "▁"
 NONE = np.int32(2**31 - 1)
 #: Piece types and the kind of model in the file format.
@@ -70,6 +72,23 @@ def _message(data: bytes) -> dict[int, bytes | int]:
     return dict(_fields(data))
 
 
+def distinct(code: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct parts of ``code`` as one place among the parts each, and the number of its distinct part for every part.
+
+    Parts are gathered by a 64-bit hash and then compared with their first one, character by character.
+    """
+    place = np.arange(len(code)) - np.repeat(begin, size)
+    power = np.cumprod(np.full(int(size.max()), FACTOR))
+    key = np.add.reduceat((code.astype("uint64") + np.uint64(1)) * power[place], begin)
+    _, first, same = np.unique(key, return_index=True, return_inverse=True)
+    model = first[same]
+    if (size[model] == size).all() and (code[np.repeat(begin[model], size) + place] == code).all():
+        return first, same
+    seen: dict[bytes, int] = {}
+    same = np.array([seen.setdefault(code[b : b + n].tobytes(), len(seen)) for b, n in zip(begin.tolist(), size.tolist(), strict=True)])
+    return np.unique(same, return_index=True)[1], same
+
+
 class CharMap:
     """The compiled character map: a double-array trie over UTF-8 bytes, and the replacements it points at."""
 
@@ -144,6 +163,7 @@ class Pieces:
         unknown = trainer.get(44, " ⁇ ".encode())
         self._letters(names, kind, unknown)
         self.seen: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     # ---- tables
 
@@ -334,10 +354,15 @@ class Pieces:
         return np.array(out, "<u4").tobytes()
 
     def learn(self, parts: set[str]) -> None:
-        """Encode the parts not yet held."""
-        if len(self.seen) + len(parts) > CACHE:
-            self.seen = {}
-        new = sorted((p for p in parts if p not in self.seen), key=len)
+        """Encode the parts not yet held. When half the cache is full it becomes the older half: what is met again moves on,
+        the rest is dropped with it."""
+        new = [p for p in parts if p not in self.seen]
+        if 2 * (len(self.seen) + len(new)) > CACHE:
+            self.older, self.seen = self.seen, {p: self.seen[p] for p in parts if p in self.seen}
+        if self.older:
+            self.seen.update((p, self.older[p]) for p in new if p in self.older)
+            new = [p for p in new if p not in self.seen]
+        new.sort(key=len)
         at = 0
         for limit in (1, 3, 5, 7, 9, 11, 14, 18, 24, SHORT):
             end = at
@@ -350,17 +375,17 @@ class Pieces:
         for p in new[at:]:
             self.seen[p] = self._spell(p, self._merge_long(p))
 
-    def parts(self, norm: str) -> Iterator[list[str]]:
-        """The parts of a normalised text that no merge can leave, in lists of some ``PIECE`` characters."""
-        held = ""
-        for k in range(0, len(norm), PIECE):
-            held += norm[k : k + PIECE]
-            kind = self.classes[np.frombuffer(held.encode("utf-32-le", "surrogatepass"), "<u4")]
-            cut = [0, *(np.flatnonzero(~self.beside[kind[:-1], kind[1:]]) + 1).tolist()]
-            if k + PIECE >= len(norm):
-                yield [held[a:b] for a, b in zip(cut, [*cut[1:], len(held)], strict=True)]
-            else:
-                yield [held[a:b] for a, b in zip(cut, cut[1:], strict=False)]
+    def parts(self, norm: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The characters of a normalised text, some ``PIECE`` at a time, and where in them the parts begin that no merge can leave."""
+        code, held = np.frombuffer(norm.encode("utf-32-le", "surrogatepass"), "<u4"), np.zeros(0, "<u4")
+        for k in range(0, len(code), PIECE):
+            held = np.concatenate([held, code[k : k + PIECE]])
+            kind = self.classes[held]
+            cut = np.append(0, np.flatnonzero(~self.beside[kind[:-1], kind[1:]]) + 1)
+            if k + PIECE >= len(code):
+                yield held, cut
+            elif len(cut) > 1:
+                yield held[: cut[-1]], cut[:-1]
                 held = held[cut[-1] :]
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -368,21 +393,36 @@ class Pieces:
         out, held, count = [], [], 0
         for text in texts:
             norm, src = self.normalise(text)
-            out.append((bytearray(), src))
-            for parts in self.parts(norm):
-                held.append((out[-1][0], parts))
-                count += len(parts)
-                if count >= PIECE:
+            out.append(([np.zeros(0, "<u4")], src))
+            for code, cut in self.parts(norm):
+                held.append((out[-1][0], code, cut))
+                count += len(code)
+                if count >= 4 * PIECE:
                     self._append(held)
                     held, count = [], 0
-        self._append(held)
-        found = [(np.frombuffer(ids, "<u4").astype("int64"), src) for ids, src in out]
+        if held:
+            self._append(held)
+        found = [(np.concatenate(ids).astype("int64"), src) for ids, src in out]
         return [(ids, self._spans(ids, src)) for ids, src in found]
 
-    def _append(self, held: list[tuple[bytearray, list[str]]]) -> None:
-        self.learn(set().union(*(p for _, p in held)))
-        for buffer, parts in held:
-            buffer += b"".join(map(self.seen.__getitem__, parts))
+    def _append(self, held: list[tuple[list[np.ndarray], np.ndarray, np.ndarray]]) -> None:
+        """Put the ids of each text's parts into its list; a part that occurs several times here is looked up once."""
+        code = np.concatenate([c for _, c, _ in held])
+        base = np.cumsum([0, *(len(c) for _, c, _ in held)])
+        begin = np.concatenate([cut + b for (_, _, cut), b in zip(held, base.tolist(), strict=False)])
+        size = np.diff(np.append(begin, len(code)))
+        first, same = distinct(code, begin, size)
+        text = code.tobytes().decode("utf-32-le", "surrogatepass")
+        parts = [text[b : b + n] for b, n in zip(begin[first].tolist(), size[first].tolist(), strict=True)]
+        self.learn(set(parts))
+        made = [self.seen[p] for p in parts]
+        n = np.fromiter(map(len, made), "int64", len(made)) // 4
+        at, many = (np.cumsum(n) - n)[same], n[same]
+        ends = np.cumsum(many)
+        ids = np.frombuffer(b"".join(made), "<u4")[np.repeat(at - ends + many, many) + np.arange(ends[-1])]
+        stops = ends[np.cumsum([len(cut) for _, _, cut in held]) - 1].tolist()
+        for (out, _, _), a, b in zip(held, [0, *stops], stops, strict=False):
+            out.append(ids[a:b])
 
     def _spans(self, ids: np.ndarray, src: np.ndarray) -> np.ndarray:
         """Source spans: a byte piece has its character's span when it is the last of it, and an empty span before that."""
@@ -430,19 +470,19 @@ def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
     ``path`` names the model file on the driver and on every executor.
     """
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load(path)
         for x in batches:
-            texts = [t if isinstance(t, str) else "" for t in x]
+            texts = [t or "" for t in x.to_pylist()]
             made = model.encode(texts)
-            behind = [len(t.encode("utf-8", "surrogatepass")) for t in texts]
-            yield pd.DataFrame({
-                "ids": [np.append(i, model.end_id).astype("int32") for i, _ in made],
-                "begins": [np.append(s[:, 0], e).astype("int32") for (_, s), e in zip(made, behind, strict=True)],
-                "ends": [np.append(s[:, 1], e).astype("int32") for (_, s), e in zip(made, behind, strict=True)],
-                "decoded": [model.decode(i) for i, _ in made],
-            })
-
-    made = F.pandas_udf(run, "ids array<int>, begins array<int>, ends array<int>, decoded string")
+            stops = np.cumsum([0, *(len(i) + 1 for i, _ in made)], dtype="int32")
+            ids = np.full(stops[-1], model.end_id, "int32")
+            spans = np.empty((stops[-1], 2), "int32")
+            for a, b, (i, s), t in zip(stops.tolist(), stops[1:].tolist(), made, texts, strict=False):
+                ids[a : b - 1], spans[a : b - 1], spans[b - 1] = i, s, len(t.encode("utf-8", "surrogatepass"))
+            lists = [pa.ListArray.from_arrays(stops, np.ascontiguousarray(v)) for v in (ids, spans[:, 0], spans[:, 1])]
+            yield pa.StructArray.from_arrays([*lists, pa.array([model.decode(i) for i, _ in made], pa.string())], ["ids", "begins", "ends", "decoded"])
+
+    made = F.arrow_udf(run, "ids array<int>, begins array<int>, ends array<int>, decoded string")
     kept = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return kept.withColumn("__made", made(F.col("text"))).select("doc_id", "text", "__made.ids", "__made.begins", "__made.ends", "__made.decoded")
