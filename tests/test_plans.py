@@ -88,9 +88,10 @@ def test_columnwise_merge_is_one_pass(spark):
     assert "SortAggregate" not in p and "WindowGroupLimit" in p
 
 
-def test_province_window_keeps_no_orders_in_hash_maps(spark):
+@pytest.mark.parametrize("key", ["dws_trade_province_order", "bean_to_snake_json"])
+def test_province_window_keeps_no_orders_in_hash_maps(spark, key):
     # distinct orders are marked in the join's own sort: the only hash aggregate is per window and province
-    p = plan(spark, "dws_trade_province_order")
+    p = plan(spark, key)
     keys = [x.split("keys=[")[1].split("]")[0] for x in p.split("\n") if "HashAggregate(keys=" in x]
     assert keys and not [k for k in keys if "order_id" in k]
     assert p.count("Sort [order_id") <= 1
