@@ -1,5 +1,7 @@
 """Physical-plan properties the scale design relies on (checked with explain, nothing executed)."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -95,3 +97,11 @@ def test_province_window_keeps_no_orders_in_hash_maps(spark, key):
     keys = [x.split("keys=[")[1].split("]")[0] for x in p.split("\n") if "HashAggregate(keys=" in x]
     assert keys and not [k for k in keys if "order_id" in k]
     assert p.count("Sort [order_id") <= 1
+
+
+@pytest.mark.parametrize("key", ["dwd_trade_order_cancel"])
+def test_shuffles_start_from_enough_partitions(spark, key):
+    # a task's sort must not grow with the input because the caller gives few shuffle partitions (8 here)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    parts = [int(n) for n in re.findall(r"Exchange hashpartitioning\(.*, (\d+)\)", plan(spark, key))]
+    assert parts and min(parts) >= 200

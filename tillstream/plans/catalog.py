@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import prepare
+from ..session import prepare, spread_shuffles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -23,7 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 def query(key: str):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            prepare(spark)
+            spread_shuffles(prepare(spark))
             return fn(spark, sf_dir)
 
         run.__name__ = key

@@ -25,6 +25,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
 }
 
+# A batch shuffle starts from at least so many partitions and AQE merges the small ones up to its advisory size: a
+# task's sorts stay at that size however few ``spark.sql.shuffle.partitions`` the caller gives. Up to 200 (Spark's
+# default of spark.shuffle.sort.bypassMergeThreshold) map tasks write rows straight through, without buffering them.
+LEAST_PARTITIONS = 200
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     for k, v in RUNTIME_CONF.items():
@@ -33,6 +39,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread_shuffles(spark: SparkSession) -> SparkSession:
+    """Shuffles of the session start from ``LEAST_PARTITIONS``, or from more if the caller asks for more."""
+    asked = [int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get(INITIAL_PARTITIONS, None) or 0)]
+    spark.conf.set(INITIAL_PARTITIONS, str(max(LEAST_PARTITIONS, *asked)))
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and streaming checkpoints.
 
