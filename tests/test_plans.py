@@ -99,7 +99,7 @@ def test_province_window_keeps_no_orders_in_hash_maps(spark, key):
     assert p.count("Sort [order_id") <= 1
 
 
-@pytest.mark.parametrize("key", ["dwd_trade_order_cancel"])
+@pytest.mark.parametrize("key", ["dwd_trade_order_cancel", "bean_to_snake_json"])
 def test_shuffles_start_from_enough_partitions(spark, key):
     # a task's sort must not grow with the input because the caller gives few shuffle partitions (8 here)
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
