@@ -291,6 +291,39 @@ def test_substring_dedup_equals_brute_force(sc):
     assert {r["doc_id"]: r["text"] for r in QUERIES["op4_substring_dedup"](sc, SF).collect()} == want
 
 
+def test_a_text_sends_each_of_its_chunks_once(sc):
+    rng = random.Random(41)
+    prose = lambda n: " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(n))
+    passage = prose(80)
+    texts = [" ".join([prose(40), passage, prose(30), passage, prose(20), passage]), prose(120), None, "", passage]
+    made = chunk_dedup.chunks(frame(sc, texts))
+    held = [{t.encode()[a:b] for a, b in plain_chunks(t.encode())} for t in texts if t]
+    assert made.count() == sum(map(len, held)) < sum(len(plain_chunks(t.encode())) for t in texts if t)
+    assert made.columns == ["id", "key", "at", "d1", "d2"]  # what is shuffled for every chunk: no offsets
+    found = chunk_dedup.repeats(frame(sc, texts)).collect()
+    assert [r["id"] for r in found] == [4] and {s["first"] for s in found[0]["spans"]} == {0}
+    out = {r["doc_id"]: r for r in chunk_dedup.dedup(frame(sc, texts)).collect()}
+    assert out[0]["first_ids"] == [0] and out[0]["n_removed"] > len(passage) and out[4]["first_ids"] == [0]
+    assert out[1]["first_ids"] == [] and out[1]["text"] == texts[1] and out[2]["first_ids"] == []
+
+
+def test_substrings_of_rows_without_an_id_or_with_one_id(sc):
+    rng = random.Random(43)
+    prose = lambda n: " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(n))
+    passage = prose(90)
+    twice = f"{passage} {prose(30)} {passage}"
+    rows = [(None, twice), (None, twice), (None, prose(60)), (7, twice), (7, twice), (7, f"{prose(20)} {passage}"), (9, f"{prose(15)} {passage}")]
+    docs = sc.createDataFrame(rows, "doc_id long, text string")
+    out = sorted(((-1 if r["doc_id"] is None else r["doc_id"], len(r["text"]), r["n_removed"], tuple(r["first_ids"])) for r in chunk_dedup.dedup(docs).collect()), key=str)
+    assert len(out) == 7
+    by = {i: [x[2:] for x in out if x[0] == i] for i in (-1, 7, 9)}
+    # without an id: comes last, so all of the text that a row with an id holds goes
+    assert sorted(len(f) for _, f in by[-1]) == [0, 1, 1] and by[-1].count((len(twice.encode()), (7,))) == 2
+    # one id: none repeats the other, the repeat inside each goes
+    assert sorted(bool(n) for n, _ in by[7]) == [False, True, True] and {f for n, f in by[7] if n} == {(7,)}
+    assert [f for _, f in by[9]] == [(7,)]
+
+
 def test_two_copies_of_51_words_seldom_stay_whole():
     rng, whole, half = random.Random(12), 0, 0
     word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9)))

@@ -8,7 +8,9 @@ held it before. Runs of adjacent repeats of at least ``least_run`` bytes are del
 
 Scale: digests are counted with partial sums, so a chunk in a third of all documents ships one row per
 task; only digests met twice go on. Places are joined with their digest's first document, linear in the
-places. Both sides of that join are written tables, whose hot digests Spark can split.
+places. Both sides of that join are written tables, whose hot digests Spark can split. What is shuffled is kept small:
+a text's chunks are numbered, and it sends each chunk once; where its text meets the found numbers it is cut again,
+which gives the offsets and the chunks that it repeats itself.
 
 Defined cases: a null text stays null and an empty one empty; rows with the same id count as one document
 (none repeats another) but repeats inside each row are found; null ids come last; other columns are not read.
@@ -72,40 +74,38 @@ def cuts(data: bytes) -> list[int]:
     return out
 
 
-def _chunk_rows(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ends, digests (two longs each) and whether the text held the chunk before."""
+def _chunk_rows(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the chunks that the text did not hold before, and their digests (two longs each)."""
     data = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
     ends, view = cuts(data), memoryview(data)
-    digests = [hashlib.blake2b(view[a:b], digest_size=16).digest() for a, b in zip([0, *ends], ends, strict=False)]
-    seen: set[bytes] = set()
-    again = np.array([d in seen or seen.add(d) is not None for d in digests], bool)
-    return np.array(ends, "i4"), np.frombuffer(b"".join(digests), "i8").reshape(-1, 2), again
+    places: dict[bytes, int] = {}
+    for at, (a, b) in enumerate(zip([0, *ends], ends, strict=False)):
+        places.setdefault(hashlib.blake2b(view[a:b], digest_size=16).digest(), at)
+    return np.array([*places.values()], "i4"), np.frombuffer(b"".join(places), "i8").reshape(-1, 2)
 
 
 def _chunk_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for x in batches:
         rows = [_chunk_rows(t) for t in x]
-        yield pd.DataFrame({"stop": [r[0] for r in rows], "d1": [r[1][:, 0] for r in rows], "d2": [r[1][:, 1] for r in rows], "again": [r[2] for r in rows]})
+        yield pd.DataFrame({"at": [r[0] for r in rows], "d1": [r[1][:, 0] for r in rows], "d2": [r[1][:, 1] for r in rows]})
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """``(id, key, start, stop, d1, d2, again)``: one row per chunk, byte offsets."""
-    cut_up = F.pandas_udf(_chunk_batches, "stop array<int>, d1 array<long>, d2 array<long>, again array<boolean>")
+    """``(id, key, at, d1, d2)``: one row per distinct chunk of a text; ``at`` numbers the text's chunks from 0."""
+    cut_up = F.pandas_udf(_chunk_batches, "at array<int>, d1 array<long>, d2 array<long>")
     made = docs.select(F.col("doc_id").alias("id"), text_key().alias("key"), cut_up("text").alias("c"))
-    rows = made.select("id", "key", F.col("c.stop").alias("stops"), F.posexplode(F.arrays_zip("c.stop", "c.d1", "c.d2", "c.again")).alias("at", "c"))
-    start = F.coalesce(F.get("stops", F.col("at") - 1), F.lit(0))
-    return rows.select("id", "key", start.alias("start"), F.col("c.stop"), F.col("c.d1"), F.col("c.d2"), F.col("c.again"))
+    rows = made.select("id", "key", F.explode(F.arrays_zip("c.at", "c.d1", "c.d2")).alias("c"))
+    return rows.select("id", "key", "c.at", "c.d1", "c.d2")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """``(id, key, spans array<struct<start, stop, first>>)``: repeated chunks and the first document of each."""
+    """``(id, key, spans array<struct<at, first>>)``: chunks that an earlier document holds and the first document of each."""
     rows = materialize(chunks(docs), "chunks")
-    known = rows.where("not again").groupBy("d1", "d2").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    known = rows.groupBy("d1", "d2").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
     known = materialize(known.select("d1", "d2", "first"), "known")
-    later = rows.join(known, ["d1", "d2"]).where("first is not null and (id is null or id > first)").select("id", "key", "start", "stop", "first")
-    inside = rows.where("again").select("id", "key", "start", "stop", F.col("id").alias("first"))
-    both = later.unionByName(inside).groupBy("id", "key", "start", "stop").agg(F.min("first").alias("first"))
-    return both.groupBy("id", "key").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "first"))).alias("spans"))
+    later = rows.join(known, ["d1", "d2"]).where("first is not null and (id is null or id > first)").select("id", "key", "at", "first")
+    # rows with one id and text bring the same places: a set
+    return later.repartition("id", "key").groupBy("id", "key").agg(F.collect_set(F.struct("at", "first")).alias("spans"))
 
 
 def long_runs(spans: list[tuple[int, int]], least_run: int) -> list[tuple[int, int]]:
@@ -119,33 +119,43 @@ def long_runs(spans: list[tuple[int, int]], least_run: int) -> list[tuple[int, i
     return [(a, b) for a, b in out if b - a >= least_run]
 
 
-def _cut(text: str, spans: np.ndarray, least_run: int) -> tuple[str, int, list[int]]:
-    data, kept, at, used = text.encode("utf-8", "surrogatepass"), [], 0, []
-    gone = long_runs([(s["start"], s["stop"]) for s in spans], least_run)
+def _cut(text: str, spans: np.ndarray | None, least_run: int) -> tuple[str, int, list[int], bool]:
+    data, found = text.encode("utf-8", "surrogatepass"), {} if spans is None else {s["at"]: s["first"] for s in spans}
+    ends, places, again = cuts(data), {}, []
+    for at, (a, b) in enumerate(zip([0, *ends], ends, strict=False)):
+        place = places.setdefault(data[a:b], at)
+        if place < at or at in found:
+            again.append((a, b, found.get(place)))
+    gone = long_runs([(a, b) for a, b, _ in again], least_run)
+    kept, at = [], 0
     for start, stop in gone:
         kept.append(data[at:start])
         at = stop
     kept.append(data[at:])
     ranges = iter(gone)
-    now = next(ranges, None)
-    for s in spans:
-        while now and s["start"] >= now[1]:
+    now, used = next(ranges, None), set()
+    for start, _, first in again:
+        while now and start >= now[1]:
             now = next(ranges, None)
-        if now and s["start"] >= now[0] and s["first"] is not None:
-            used.append(s["first"])
-    return b"".join(kept).decode("utf-8", "surrogatepass"), sum(b - a for a, b in gone), sorted(set(used))
+        if now and start >= now[0]:
+            used.add(first)
+    own = None in used
+    return b"".join(kept).decode("utf-8", "surrogatepass"), sum(b - a for a, b in gone), sorted(used - {None}), own
 
 
 def dedup(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
     """``(doc_id, text, n_removed, first_ids)``: the text without repeats, bytes deleted, documents that hold them first."""
 
-    @F.pandas_udf("text string, n_removed long, first_ids array<long>")
+    @F.pandas_udf("text string, n_removed long, first_ids array<long>, own boolean")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
-        rows = [(t, 0, []) if s is None or not isinstance(t, str) else _cut(t, s, least_run) for t, s in zip(texts, spans, strict=True)]
-        return pd.DataFrame(rows, columns=["text", "n_removed", "first_ids"])
+        rows = [_cut(t, s, least_run) if isinstance(t, str) else (t, 0, [], False) for t, s in zip(texts, spans, strict=True)]
+        return pd.DataFrame(rows, columns=["text", "n_removed", "first_ids", "own"])
 
     # texts and spans meet in a shuffle at every size: the spans grow with the corpus
     found = materialize(repeats(docs), "repeats").select(F.col("id").alias("__id"), F.col("key").alias("__key"), "spans").hint("merge")
     keyed = docs.select("doc_id", "text", text_key().alias("key"))
     joined = keyed.join(found, keyed["doc_id"].eqNullSafe(found["__id"]) & (keyed["key"] == found["__key"]), "left")
-    return joined.select("doc_id", cut("text", "spans").alias("c")).select("doc_id", "c.text", "c.n_removed", "c.first_ids")
+    out = joined.select("doc_id", cut("text", "spans").alias("c"))
+    # a document that repeats itself is listed among the first ones
+    firsts = F.when(F.col("c.own") & F.col("doc_id").isNotNull(), F.array_sort(F.array_append("c.first_ids", F.col("doc_id").cast("long")))).otherwise(F.col("c.first_ids"))
+    return out.select("doc_id", "c.text", "c.n_removed", firsts.alias("first_ids"))
